@@ -127,17 +127,24 @@ def _widen(struct: T.StructType, steps: tuple[Step, ...], case_sensitive: bool)
         for _ in step.positions:
             made = T.ArrayType(made)
         return T.StructType([*struct.fields, T.StructField(step.name, made)])
-    changed = _widen_inside(known.dataType, rest, case_sensitive) if rest else known.dataType
+    changed = known.dataType
+    if rest:
+        changed = _widen_inside(changed, len(step.positions), rest, case_sensitive)
     return T.StructType(
         [T.StructField(f.name, changed if f is known else f.dataType) for f in struct.fields]
     )
 
 
 def _widen_inside(
-    current: T.DataType, rest: tuple[Step, ...], case_sensitive: bool
+    current: T.DataType, positions: int, rest: tuple[Step, ...], case_sensitive: bool
 ) -> T.DataType:
     if isinstance(current, T.ArrayType):
-        return T.ArrayType(_widen_inside(current.elementType, rest, case_sensitive))
+        if positions:
+            positions -= 1
+        elif rest[0].positions:
+            # Across an array a position picks from the extracted fields.
+            rest = (Step(rest[0].name, rest[0].positions[1:]), *rest[1:])
+        return T.ArrayType(_widen_inside(current.elementType, positions, rest, case_sensitive))
     if isinstance(current, T.StructType):
         return _widen(current, rest, case_sensitive)
     return current

@@ -19,7 +19,11 @@ MAX_ROUTES = 10_000
 
 @dataclass(frozen=True)
 class RoutePlan:
-    """One route: who gets in, which columns come out and where they go."""
+    """One route: who gets in, which columns come out and where they go.
+
+    The id names identifier, position and table, so that two identifiers can
+    share a target.
+    """
 
     route_id: str
     structure: str
@@ -91,7 +95,7 @@ def _plan(number: int, row) -> RoutePlan:
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:
         raise ValueError(f"structure {row['structure']!r} names a column twice: {repeated}")
-    label = re.sub(r"\W+", "_", row["table"])
+    label = re.sub(r"\W+", "_", f"{row['identifier']}_{number:03d}_{row['table']}")
     return RoutePlan(
-        f"{number:03d}_{label}", row["structure"], row["predicate"], row["db"], row["table"], fields
+        label, row["structure"], row["predicate"], row["db"], row["table"], fields
     )

@@ -60,9 +60,10 @@ def write_batch(
     Routes without rows are not written, unless the batch may be a ``replay`` and
     has to replace what an earlier try left behind.
 
-    Routes are written at the same time from a few driver threads. A failing
-    route does not stop the others. With ``on_error="fail"`` it raises once all
-    of them are done.
+    Different targets are written at the same time from a few driver threads,
+    the routes of one target one after the other, since two jobs must not commit
+    to one folder at once. A failing route does not stop the others. With
+    ``on_error="fail"`` it raises once all of them are done.
     """
     plans = _plans(registry, config)
     reports: list[RouteReport] = []
@@ -72,12 +73,18 @@ def write_batch(
         try:
             counts = held.counts()
             log.info("batch %s: %s", batch_id, counts)
-            write = inheritable_thread_target(df.sparkSession)(_write_route)
-            with ThreadPoolExecutor(min(config.route_threads, len(plans))) as pool:
-                jobs = [
-                    pool.submit(write, held, plan, counts, sink, batch_id, replay) for plan in plans
-                ]
-                reports = [job.result() for job in jobs]
+            targets: dict[str, list[RoutePlan]] = {}
+            for plan in plans:
+                targets.setdefault(plan.target.lower(), []).append(plan)
+
+            def write_target(same_target: list[RoutePlan]) -> list[RouteReport]:
+                return [_write_route(held, p, counts, sink, batch_id, replay) for p in same_target]
+
+            write = inheritable_thread_target(df.sparkSession)(write_target)
+            with ThreadPoolExecutor(min(config.route_threads, len(targets))) as pool:
+                done = [r for part in pool.map(write, targets.values()) for r in part]
+            order = [plan.route_id for plan in plans]
+            reports = sorted(done, key=lambda report: order.index(report.route))
         finally:
             held.release()
     if on_report is not None:

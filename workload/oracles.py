@@ -39,7 +39,7 @@ def _shown(purchases: str, problems: str, short: str) -> str:
     )
 
 
-_PIPELINE = _shown("001_purchases", "002_problems", "003_short_visits")
+_PIPELINE = _shown("events_app_001_purchases", "events_app_002_problems", "events_app_003_short_visits")
 
 _STREAM = _E + " UNION ALL ".join(
     f"""SELECT '{target}' AS target, event_id, CAST(user_id AS INTEGER) AS user_id,
@@ -173,9 +173,9 @@ ORACLES: dict[str, str] = {
     "pipeline_batch": _PIPELINE,
     "pipeline_inferred": _PIPELINE,
     "sink_append": _shown("sales.purchases", "ops.problems", "ops.short_visits"),
-    "sink_report": f"""{_E} SELECT '001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
-        UNION ALL SELECT '002_problems', count(*), true FROM e WHERE {_PROBLEMS}
-        UNION ALL SELECT '003_short_visits', count(*), true FROM e WHERE {_SHORT}""",
+    "sink_report": f"""{_E} SELECT 'events_app_001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
+        UNION ALL SELECT 'events_app_002_problems', count(*), true FROM e WHERE {_PROBLEMS}
+        UNION ALL SELECT 'events_app_003_short_visits', count(*), true FROM e WHERE {_SHORT}""",
     "stream_route": _STREAM,
     "stream_inferred": _STREAM,
     "stream_replay": _STREAM,
