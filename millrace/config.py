@@ -17,7 +17,7 @@ _CHOICES = {
     "missing": ("null", "omit"),
     "split_layout": ("contiguous", "strided"),
     "on_error": ("fail", "skip"),
-    "reuse": ("persist", "checkpoint", "none"),
+    "reuse": ("persist", "stage", "none"),
 }
 
 

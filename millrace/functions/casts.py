@@ -60,8 +60,10 @@ def cast_column(
 
 def whole_number(column: Column, target: T.DataType) -> Column:
     """Text to a whole number; a decimal fraction is cut off, not rounded."""
-    without_fraction = F.regexp_replace(column, _FRACTION, "$10$2")
-    return F.coalesce(column.try_cast(target), without_fraction.try_cast(target))
+    without_fraction = F.when(
+        column.contains("."), F.regexp_replace(column, _FRACTION, "$10$2").try_cast(target)
+    )
+    return F.coalesce(column.try_cast(target), without_fraction)
 
 
 def slash_timestamp(column: Column, source: T.DataType) -> Column:

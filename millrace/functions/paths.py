@@ -148,3 +148,36 @@ def _widen_inside(
     if isinstance(current, T.StructType):
         return _widen(current, rest, case_sensitive)
     return current
+
+
+def only_paths(
+    schema: T.StructType, paths: Iterable[str], case_sensitive: bool = False
+) -> T.StructType:
+    """Schema cut down to the fields that some path runs through or ends at.
+
+    What lies below the end of a path is kept whole. Paths the schema does not
+    have are ignored.
+    """
+    return _narrow(schema, [[s.name for s in parse_path(p)] for p in paths], case_sensitive)
+
+
+def _narrow(struct: T.StructType, paths: list[list[str]], case_sensitive: bool) -> T.StructType:
+    kept = []
+    for known in struct.fields:
+        inside = [p[1:] for p in paths if _find(struct, p[0], case_sensitive) is known]
+        if not inside:
+            continue
+        whole = any(not p for p in inside)
+        kind = known.dataType if whole else _narrow_inside(known.dataType, inside, case_sensitive)
+        kept.append(T.StructField(known.name, kind))
+    return T.StructType(kept)
+
+
+def _narrow_inside(
+    current: T.DataType, paths: list[list[str]], case_sensitive: bool
+) -> T.DataType:
+    if isinstance(current, T.ArrayType):
+        return T.ArrayType(_narrow_inside(current.elementType, paths, case_sensitive))
+    if isinstance(current, T.StructType):
+        return _narrow(current, paths, case_sensitive)
+    return current

@@ -75,8 +75,11 @@ def safe_positions(text: str) -> str:
     return _TOKEN.sub(rewrite, text)
 
 
-def predicate_paths(text: str) -> list[str]:
-    """Field paths a predicate mentions, in order, without repeats."""
+def predicate_paths(text: str, keywords: bool = False) -> list[str]:
+    """Field paths a predicate may mention, in order, without repeats.
+
+    ``keywords`` keeps SQL words too, which could be field names.
+    """
     pairs = pair_form(text)
     if pairs is not None:
         return list(dict.fromkeys(path for path, _ in pairs))
@@ -84,7 +87,7 @@ def predicate_paths(text: str) -> list[str]:
     paths = []
     for token in _TOKEN.finditer(found["condition"] or "" if found else text):
         path = token["path"]
-        if path and not token["call"] and path.lower() not in {*_KEYWORDS, MESSAGE_VIEW.lower()}:
+        if path and not token["call"] and (keywords or path.lower() not in _KEYWORDS):
             paths.append(path)
     return list(dict.fromkeys(paths))
 

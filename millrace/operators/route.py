@@ -2,52 +2,76 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import MESSAGE_VIEW
-from millrace.functions.predicates import condition_text, lenient, pair_form, predicate_column, safe_positions
-
-MATCH = "_match"
-
-
-def route_filter(df: DataFrame, predicate: str) -> DataFrame:
-    """Messages that match one registry predicate."""
+from millrace.functions.paths import quote
+from millrace.functions.predicates import (
+    condition_text,
+    lenient,
+    pair_form,
+    predicate_column,
+    safe_positions,
+)
+
+def route_filter(df: DataFrame, predicate: str, parsed: bool = True) -> DataFrame:
+    """Messages that match one registry predicate.
+
+    Pass ``parsed=False`` for columns that were not just parsed from JSON but are
+    stored as such, so that Spark can push the test down to the files.
+    """
     with lenient(df.sparkSession):
         column = predicate_column(predicate, df.schema)
         if column is not None:
-            return df.filter(column)
+            return keep_matching(df, column) if parsed else df.filter(column)
         df.createOrReplaceTempView(MESSAGE_VIEW)
         return df.sparkSession.sql(safe_positions(predicate))
 
 
+def keep_matching(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter freshly parsed messages without parsing any of them again.
+
+    Spark moves a plain filter ahead of the parse and then reads the JSON once
+    per condition and once more for the rows it keeps. It does not move a filter
+    on what ``explode_outer`` puts out.
+    """
+    hit = F.explode_outer(F.when(condition, F.array(F.lit(True))))
+    return df.withColumn("_hit", hit).filter("_hit").drop("_hit")
+
+
 def is_filter(predicate: str) -> bool:
     """Whether a predicate is a plain filter, so that all routes share one pass."""
     return pair_form(predicate) is not None or condition_text(predicate) is not None
 
 
 def match_routes(df: DataFrame, predicates: Mapping[str, str]) -> DataFrame:
-    """Add one struct of booleans, a field per route, from a single evaluation.
+    """Add one boolean column per route, all evaluated in one projection.
 
     A null condition counts as no match.
     """
     with lenient(df.sparkSession):
         schema = df.schema
         flags = [
-            F.coalesce(predicate_column(text, schema).cast("boolean"), F.lit(False)).alias(route)
+            F.coalesce(predicate_column(text, schema).cast("boolean"), F.lit(False)).alias(flag(route))
             for route, text in predicates.items()
         ]
-        return df.withColumn(MATCH, F.struct(*flags) if flags else F.lit(None).cast("struct<>"))
+        return df.select("*", *flags)
+
+
+def flag(route: str) -> str:
+    """Name of the boolean column of a route."""
+    return f"_match_{route}"
 
 
 def matched(route: str) -> Column:
-    return F.col(MATCH).getField(route)
+    return F.col(quote(flag(route)))
 
 
-def any_match(routes: list[str]) -> Column:
+def any_match(routes: Sequence[str]) -> Column:
     return reduce(lambda left, right: left | right, [matched(r) for r in routes], F.lit(False))
 
 
@@ -55,29 +79,35 @@ def tag_routes(df: DataFrame, predicates: Mapping[str, str], column: str = "rout
     """Add the array of route names each message matches; no match is an empty array."""
     tagged = match_routes(df, predicates)
     names = [F.when(matched(route), F.lit(route)) for route in predicates]
-    return tagged.withColumn(column, F.array_compact(F.array(*names))).drop(MATCH)
+    return tagged.select(
+        *[quote(c) for c in df.columns], F.array_compact(F.array(*names)).alias(column)
+    )
 
 
 def fan_out(df: DataFrame, predicates: Mapping[str, str], column: str = "route") -> DataFrame:
-    """One row per message and matching route."""
+    """One row per message and matching route. See :func:`keep_matching` for the
+    outer form."""
     tagged = tag_routes(df, predicates, "_routes")
-    return tagged.withColumn(column, F.explode("_routes")).drop("_routes")
+    exploded = tagged.withColumn(column, F.explode_outer("_routes")).drop("_routes")
+    return exploded.filter(F.col(quote(column)).isNotNull())
 
 
 def unmatched(df: DataFrame, predicates: Mapping[str, str]) -> DataFrame:
     """Messages that match no route."""
-    return match_routes(df, predicates).filter(~any_match(list(predicates))).drop(MATCH)
+    missed = keep_matching(match_routes(df, predicates), ~any_match(list(predicates)))
+    return missed.select(*[quote(c) for c in df.columns])
 
 
-def count_matches(df: DataFrame, routes: list[str]) -> DataFrame:
+def count_matches(df: DataFrame, routes: Sequence[str]) -> DataFrame:
     """Rows per route, plus ``total`` and ``unmatched``, from one aggregate row.
 
     ``partitions`` is the number of partitions that hold messages.
 
-    ``df`` carries the struct of :func:`match_routes`. Each task sends a single
+    ``df`` carries the columns of :func:`match_routes`. Each task sends a single
     row of counters, however many routes there are and however skewed they are.
     """
-    counted = df.select(MATCH, F.spark_partition_id().alias("_part")).agg(
+    flags = [matched(route) for route in routes]
+    counted = df.select(*flags, F.spark_partition_id().alias("_part")).agg(
         F.count_if(~any_match(routes)).alias("unmatched"),
         F.count(F.lit(1)).alias("total"),
         (F.coalesce(F.max("_part"), F.lit(-1)) + 1).cast("long").alias("partitions"),

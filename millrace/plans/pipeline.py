@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Sequence
-from dataclasses import dataclass, field
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field, replace
 
 from pyspark import StorageLevel
 from pyspark.errors import PySparkException
@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.config import MESSAGE_VIEW, PipelineConfig
-from millrace.functions.paths import quote, with_paths
+from millrace.config import PipelineConfig
+from millrace.functions.paths import only_paths, parse_path, path_column, quote, with_paths
 from millrace.functions.predicates import predicate_paths
 from millrace.operators.enrich import enrich
 from millrace.operators.envelope import (
@@ -25,10 +25,11 @@ from millrace.operators.envelope import (
 )
 from millrace.operators.project import present_fields, project_fields
 from millrace.operators.route import (
-    MATCH,
     any_match,
     count_matches,
+    flag,
     is_filter,
+    keep_matching,
     match_routes,
     matched,
     route_filter,
@@ -36,16 +37,16 @@ from millrace.operators.route import (
 from millrace.operators.split import split_wide
 from millrace.plans.registry import RoutePlan, compile_routes
 from millrace.sources.registry import Registry
-from millrace.sources.storage import reliable_copy
+from millrace.sources.storage import scratch_path
 
 CLOCK = "_clock"
 
 log = logging.getLogger("millrace")
 
 
-@dataclass
+@dataclass(frozen=True)
 class Routed:
-    """Parsed messages with one match flag per route, not yet split up.
+    """Messages with one match flag per route, not yet split up by route.
 
     ``known`` is the schema the messages really have; ``frame`` may be widened
     with paths that only the registry mentions. ``errors`` holds routes whose
@@ -56,41 +57,64 @@ class Routed:
     known: T.StructType
     plans: tuple[RoutePlan, ...]
     config: PipelineConfig
-    errors: dict[str, str] = field(default_factory=dict)
+    errors: Mapping[str, str] = field(default_factory=dict)
+    held: bool = False
+    slots: Mapping[str, str] = field(default_factory=dict)
+    staged: str | None = None
 
     @property
     def filters(self) -> list[str]:
+        """Routes that are plain filters and can run."""
         return [p.route_id for p in self.plans if is_filter(p.predicate) and p.route_id not in self.errors]
 
+    @property
+    def selects(self) -> list[RoutePlan]:
+        """Routes that are a full SELECT and need whole messages."""
+        return [p for p in self.plans if not is_filter(p.predicate)]
+
     def hold(self) -> "Routed":
-        """Keep the parsed messages, so that all routes share one parse.
+        """Keep what the routes need, so that all of them share one parse.
 
-        Payloads no route wants are not kept, unless a route is a full SELECT
-        and may want any message.
+        That is the flags and each wanted path as a flat column, null for
+        messages no route wants, so that every route reads its own columns only.
+        Whole messages are kept just for full SELECT routes.
         """
-        frame = self.frame
         if self.config.reuse == "none":
             return self
-        if len(self.filters) + len(self.errors) == len(self.plans):
-            wanted = any_match(self.filters)
-            frame = frame.select(
-                *[
-                    F.col(quote(c)) if c in (MATCH, CLOCK) else F.when(wanted, F.col(quote(c))).alias(c)
-                    for c in frame.columns
-                ]
-            )
-        if self.config.reuse == "checkpoint":
-            frame = reliable_copy(frame)
+        wanted = any_match(self.filters)
+        paths = dict.fromkeys(
+            f.path
+            for p in self.plans
+            if p.route_id in self.filters
+            for f in present_fields(self.known, p.fields)
+        )
+        slots = {path: f"_slot_{number}" for number, path in enumerate(paths)}
+        kept = [c for c in self.frame.columns if c == CLOCK or c.startswith(flag(""))]
+        if self.selects:
+            kept = list(self.frame.columns)
+        frame = self.frame.select(
+            *[quote(c) for c in kept],
+            *[F.when(wanted, path_column(path)).alias(slot) for path, slot in slots.items()],
+        )
+        staged = None
+        if self.config.reuse == "stage":
+            staged = scratch_path(frame.sparkSession, "staged")
+            frame.write.parquet(staged)
+            frame = frame.sparkSession.read.schema(frame.schema).parquet(staged)
         else:
             frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
-        return Routed(frame, self.known, self.plans, self.config, self.errors)
+        return replace(self, frame=frame, held=True, slots=slots, staged=staged)
 
     def release(self) -> None:
-        if self.config.reuse == "persist":
+        """Give the kept messages up; a staged table is overwritten with nothing."""
+        if self.staged is not None:
+            nothing = self.frame.sparkSession.createDataFrame([], self.frame.schema)
+            nothing.write.mode("overwrite").parquet(self.staged)
+        elif self.config.reuse == "persist":
             self.frame.unpersist()
 
     def counts(self) -> dict[str, int]:
-        """Rows per filter route, ``total`` and ``unmatched``, from one job."""
+        """Rows per filter route and in total, from one job."""
         return {r["route"]: r["rows"] for r in count_matches(self.frame, self.filters).collect()}
 
     def messages(self, plan: RoutePlan) -> DataFrame:
@@ -98,31 +122,29 @@ class Routed:
         if plan.route_id in self.errors:
             raise ValueError(self.errors[plan.route_id])
         if is_filter(plan.predicate):
-            return self.frame.filter(matched(plan.route_id)).drop(MATCH)
-        return route_filter(self.frame.drop(MATCH), plan.predicate)
+            test = matched(plan.route_id)
+            return self.frame.filter(test) if self.held else keep_matching(self.frame, test)
+        own = [c for c in self.frame.columns if not c.startswith((flag(""), "_slot_"))]
+        return route_filter(self.frame.select(*[quote(c) for c in own]), plan.predicate)
 
     def rows(self, plan: RoutePlan) -> DataFrame:
         """Flat, typed and enriched rows of one route, lazily."""
-        messages, config = self.messages(plan), self.config
-        own_columns = is_filter(plan.predicate)
-        known = self.known if own_columns else T.StructType(
-            [f for f in messages.schema.fields if f.name != CLOCK]
-        )
-        if config.missing == "omit" and not present_fields(known, plan.fields):
+        messages, config, known, fields = self.messages(plan), self.config, self.known, plan.fields
+        if not is_filter(plan.predicate):
+            known = T.StructType([f for f in messages.schema.fields if f.name != CLOCK])
+        elif self.held:
+            fields = [replace(f, path=self.slots.get(f.path, f.path)) for f in plan.fields]
+            known = T.StructType([f for f in messages.schema.fields if f.name in self.slots.values()])
+        if config.missing == "omit" and not present_fields(known, fields):
             raise ValueError(f"no field of structure {plan.structure!r} is present")
-        has_clock = CLOCK in messages.columns
+        clock = [CLOCK] if CLOCK in messages.columns else []
         flat = project_fields(
-            messages,
-            plan.fields,
-            config.missing,
-            keep=[CLOCK] if has_clock else [],
-            extended=config.extended_types,
-            known=known,
+            messages, fields, config.missing, clock, extended=config.extended_types, known=known
         )
         flat = enrich(
             flat,
             config.time_zone,
-            F.col(CLOCK) if has_clock else None,
+            F.col(CLOCK) if clock else None,
             config.ingest_column,
             config.period_column,
             config.event_time_column,
@@ -158,34 +180,64 @@ def route_messages(
     if config.root_arrays:
         text = split_root_arrays(text)
 
+    fields = [f.path for plan in plans for f in plan.fields]
     if config.message_schema is not None:
         known = schema = _struct(config.message_schema)
     else:
         known = infer_message_schema(text)
-        mentioned = [path for plan in plans for path in _paths(plan, config.payload_column)]
-        schema = with_paths(known, mentioned) if known.fields else known
+        tested = [path for plan in plans for path in predicate_paths(plan.predicate)]
+        schema = with_paths(known, _inside([*fields, *tested], config.payload_column))
+    if config.payload_column is not None and config.payload_column not in known.names:
+        return None
     if not known.fields:
         return None
 
-    keep = (CLOCK,) if clock is not None else ()
-    frame: DataFrame | None = parse_messages(text, schema)
+    # Parse only what some route reads. A full SELECT may read anything.
+    wanted = schema
+    if all(is_filter(plan.predicate) for plan in plans):
+        tested = [path for plan in plans for path in predicate_paths(plan.predicate, keywords=True)]
+        wanted = only_paths(schema, _inside([*fields, *tested], config.payload_column))
+    routed = _match(text, wanted, known, plans, config, clock)
+    if routed.errors and wanted != schema:
+        routed = _match(text, schema, known, plans, config, clock)
+    for route, problem in routed.errors.items():
+        log.warning("route %s: predicate cannot run: %s", route, problem)
+    return routed
+
+
+def _match(
+    text: DataFrame,
+    schema: T.StructType,
+    known: T.StructType,
+    plans: Sequence[RoutePlan],
+    config: PipelineConfig,
+    clock: str | None,
+) -> Routed:
+    """Parse with ``schema`` and add the match flags."""
     if config.payload_column is not None:
-        if config.payload_column not in known.names:
-            return None
-        frame = payload_gate(frame, config.payload_column, keep)
         known = T.StructType([known[config.payload_column]])
-
-    wanted, errors = {}, {}
+        if config.payload_column not in schema.names:
+            schema = known
+    frame = parse_messages(text, schema)
+    if config.payload_column is not None:
+        frame = payload_gate(frame, config.payload_column, (CLOCK,) if clock is not None else ())
+    predicates, errors = {}, {}
     for plan in plans:
         if not is_filter(plan.predicate):
             continue
         try:
             route_filter(frame, plan.predicate)
-            wanted[plan.route_id] = plan.predicate
+            predicates[plan.route_id] = plan.predicate
         except PySparkException as problem:
             errors[plan.route_id] = str(problem)
-            log.warning("route %s: predicate cannot run: %s", plan.route_id, problem)
-    return Routed(match_routes(frame, wanted), known, tuple(plans), config, errors)
+    return Routed(match_routes(frame, predicates), known, tuple(plans), config, errors)
+
+
+def _inside(paths: list[str], payload_column: str | None) -> list[str]:
+    """Paths that start at the payload column; all of them if there is none."""
+    if payload_column is None:
+        return paths
+    return [p for p in paths if parse_path(p)[0].name.lower() == payload_column.lower()]
 
 
 def _struct(schema: str) -> T.StructType:
@@ -193,13 +245,6 @@ def _struct(schema: str) -> T.StructType:
     return found if isinstance(found, T.StructType) else T.StructType([T.StructField("value", found)])
 
 
-def _paths(plan: RoutePlan, payload_column: str | None) -> list[str]:
-    paths = [*[f.path for f in plan.fields], *predicate_paths(plan.predicate)]
-    if payload_column is None:
-        return paths
-    return [p for p in paths if p.split(".")[0].strip("`").lower() == payload_column.lower()]
-
-
 def run_batch(
     df: DataFrame,
     registry: Registry | Sequence[RoutePlan],
@@ -232,8 +277,3 @@ def _plans(
     if isinstance(registry, Registry):
         return compile_routes(registry, config.identifier, config.active_only)
     return tuple(registry)
-
-
-def message_view(df: DataFrame) -> None:
-    """Offer messages to SQL under the name registry predicates use."""
-    df.createOrReplaceTempView(MESSAGE_VIEW)

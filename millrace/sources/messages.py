@@ -1,8 +1,8 @@
-"""Message sources. All give one STRING column ``value``, batch or streaming."""
+"""Message sources, batch or streaming. All give a STRING column ``value``."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +17,12 @@ def kafka_options(
     kerberos_service: str = "kafka",
     starting_offsets: str = "latest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
 ) -> dict[str, str]:
     """Options of Spark's Kafka source for one topic.
 
     Offsets live in the query's checkpoint, never in the consumer group.
+    ``min_partitions`` reads a broker partition with several tasks.
     """
     options = {
         "kafka.bootstrap.servers": brokers,
@@ -35,15 +37,20 @@ def kafka_options(
         options["kafka.sasl.kerberos.service.name"] = kerberos_service
     if max_offsets_per_trigger is not None:
         options["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions is not None:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
 def kafka_messages(
     spark: SparkSession, options: Mapping[str, str], stream: bool = True
 ) -> DataFrame:
-    """Messages of a Kafka topic; needs Spark's Kafka package on the classpath."""
+    """Messages of a Kafka topic, with the broker's ``timestamp``.
+
+    Needs Spark's Kafka package on the classpath.
+    """
     reader = spark.readStream if stream else spark.read
-    return text_values(reader.format("kafka").options(**options).load())
+    return text_values(reader.format("kafka").options(**options).load(), keep=["timestamp"])
 
 
 def text_messages(
@@ -58,6 +65,20 @@ def text_messages(
     return reader.text(path).select("value")
 
 
-def text_values(df: DataFrame, column: str = "value") -> DataFrame:
+def text_values(
+    df: DataFrame, column: str = "value", keep: Sequence[str] = ()
+) -> DataFrame:
     """Messages held in a string or binary column of any DataFrame."""
-    return df.select(F.col(column).cast("string").alias("value"))
+    return df.select(F.col(column).cast("string").alias("value"), *keep)
+
+
+def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
+    """Bring an input of few partitions up to ``at_least``, by default one per core.
+
+    Parsing is bound by cores, so a backlog that arrives in a handful of files or
+    broker partitions is worth one exchange of the raw text. An input that has
+    enough partitions is left alone. Batch only: a stream from Kafka takes
+    ``minPartitions`` instead.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism if at_least is None else at_least
+    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)

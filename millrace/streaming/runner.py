@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.config import PipelineConfig
+from millrace.functions.paths import quote
 from millrace.operators.route import is_filter
 from millrace.plans.pipeline import CLOCK, Routed, _plans, route_messages
 from millrace.plans.registry import RoutePlan
@@ -73,12 +74,17 @@ def write_batch(
         try:
             counts = held.counts()
             log.info("batch %s: %s", batch_id, counts)
+            # The time of the query or of the micro-batch is a single day.
+            many_days = config.period_source is not None or clock not in (None, CLOCK)
             targets: dict[str, list[RoutePlan]] = {}
             for plan in plans:
                 targets.setdefault(plan.target.lower(), []).append(plan)
 
             def write_target(same_target: list[RoutePlan]) -> list[RouteReport]:
-                return [_write_route(held, p, counts, sink, batch_id, replay) for p in same_target]
+                return [
+                    _write_route(held, plan, counts, sink, batch_id, replay, many_days)
+                    for plan in same_target
+                ]
 
             write = inheritable_thread_target(df.sparkSession)(write_target)
             with ThreadPoolExecutor(min(config.route_threads, len(targets))) as pool:
@@ -101,6 +107,7 @@ def _write_route(
     sink: Sink,
     batch_id: int | None,
     replay: bool,
+    many_days: bool,
 ) -> RouteReport:
     rows = 0
     try:
@@ -110,23 +117,29 @@ def _write_route(
             rows = held.messages(plan).count()
         if rows or replay:
             out = held.rows(plan)
-            if not getattr(sink, "rebalance", False):
-                out = _sized(out, rows, counts["partitions"], held.config.rows_per_file)
-            sink.write(out, plan, batch_id)
+            sink.write(_laid_out(out, rows, counts["partitions"], held.config, many_days), plan, batch_id)
         return RouteReport(batch_id, plan.route_id, rows, True)
     except Exception as problem:
         log.exception("batch %s, route %s failed", batch_id, plan.route_id)
         return RouteReport(batch_id, plan.route_id, rows, False, str(problem))
 
 
-def _sized(rows: DataFrame, count: int, partitions: int, rows_per_file: int) -> DataFrame:
-    """Fewer, fuller files for a route whose rows are thinly spread.
+def _laid_out(
+    rows: DataFrame, count: int, partitions: int, config: PipelineConfig, many_days: bool
+) -> DataFrame:
+    """Rows in partitions that make fewer, fuller files.
 
-    The messages are still filtered where they are; only the rows of the route
-    move, and Spark joins small partitions. Routes with enough rows per task are
-    written without a shuffle.
+    With many days in a batch every task would write a file per day, so rows are
+    brought together by day; Spark splits a hot day and joins small ones. With
+    one day, only rows of a thinly spread route move, and routes with enough
+    rows per task are written without a shuffle. Messages are always filtered
+    where they are.
     """
-    return rows.hint("rebalance") if 2 * ceil(count / rows_per_file) <= partitions else rows
+    if many_days:
+        return rows.hint("rebalance", config.period_column)
+    if 2 * ceil(count / config.rows_per_file) <= partitions:
+        return rows.hint("rebalance")
+    return rows
 
 
 def run_stream(
@@ -139,20 +152,24 @@ def run_stream(
     available_now: bool = False,
     on_report: Reporter | None = None,
     name: str | None = None,
+    clock: str | None = None,
 ) -> StreamingQuery:
     """Route a stream of messages with a column ``value``.
 
     The ingest time is taken in the streaming plan: Spark stores it with the
-    offsets of the batch, so a replay sees the same time. Offsets are committed
-    only after all routes of a batch are written.
+    offsets of the batch, so a replay sees the same time. ``clock`` names a
+    column to use instead, such as the broker's timestamp of a message. Offsets
+    are committed only after all routes of a batch are written.
     """
     plans = _plans(registry, config)
+    time_column = CLOCK if clock is None else clock
     started: list[int] = []
-    timed = stream.select("value", F.current_timestamp().alias(CLOCK))
+    now = F.current_timestamp() if clock is None else F.col(quote(clock))
+    timed = stream.select("value", now.alias(time_column))
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # Only the first batch after a start can have been tried before.
-        write_batch(batch, plans, config, sink, CLOCK, batch_id, not started, on_report)
+        write_batch(batch, plans, config, sink, time_column, batch_id, not started, on_report)
         if not started:
             started.append(batch_id)
 

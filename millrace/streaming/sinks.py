@@ -28,15 +28,12 @@ class FileSink:
 
     A streamed batch owns the folder ``batch_id=<n>/route=<r>`` and overwrites it
     as a whole, so a replay leaves exactly what it wrote last, also when it now
-    has other days or no rows. ``rebalance`` shuffles rows by day first; use it
-    when one task sees many days, that is when the day key is not ingest time.
-    Spark splits a large day over several files and joins small ones.
+    has other days or no rows.
     """
 
     root: str
     format: str = "parquet"
     partition_by: tuple[str, ...] = (PERIOD_COLUMN,)
-    rebalance: bool = False
     options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, plan: RoutePlan) -> str:
@@ -44,8 +41,6 @@ class FileSink:
 
     def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None:
         days = [c for c in self.partition_by if c in rows.columns]
-        if self.rebalance and days:
-            rows = rows.hint("rebalance", *days)
         writer = rows.write.format(self.format).options(**self.options).partitionBy(*days)
         if batch_id is None:
             writer.mode("append").save(self.path(plan))
@@ -54,10 +49,13 @@ class FileSink:
             f"{self.path(plan)}/batch_id={batch_id}/route={plan.route_id}"
         )
 
-    def read(self, spark: SparkSession, plan: RoutePlan) -> DataFrame:
-        """All rows of a target; batches may have different columns."""
-        reader = spark.read.format(self.format).option("basePath", self.path(plan))
-        return reader.option("mergeSchema", "true").load(self.path(plan))
+    def read(
+        self, spark: SparkSession, plan: RoutePlan, merge_schema: bool = False
+    ) -> DataFrame:
+        """All rows of a target. ``merge_schema`` is for batches with differing
+        columns, as ``missing="omit"`` writes them; it opens every file."""
+        reader = spark.read.format(self.format).option("mergeSchema", merge_schema)
+        return reader.load(self.path(plan))
 
 
 @dataclass(frozen=True)

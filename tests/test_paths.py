@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import types as T
 
-from millrace.functions.paths import Step, has_path, parse_path, path_column, path_type, with_paths
+from millrace.functions.paths import Step, has_path, only_paths, parse_path, path_column, path_type, with_paths
 
 DDL = (
     "a STRUCT<b: STRUCT<c: STRING>, items: ARRAY<STRUCT<name: STRING, deep: STRUCT<id: INT>, "
@@ -75,3 +75,12 @@ def test_with_paths(spark):
         "struct<a:struct<items:array<struct<name:string,value:string>>,n:bigint,"
         "new:struct<leaf:string>,list:array<string>>,b:string>"
     )
+
+
+def test_only_paths(schema):
+    kept = only_paths(schema, ["a.b", "A.items.NAME[3]", "a.items.deep.id", "a.attrs.x", "nope.x", "a.nope"])
+    assert kept.simpleString() == (
+        "struct<a:struct<b:struct<c:string>,items:array<struct<name:string,deep:struct<id:int>>>,attrs:map<string,int>>>"
+    )
+    assert only_paths(schema, ["s"]).simpleString() == "struct<s:string>"
+    assert only_paths(schema, []).fields == []

@@ -95,4 +95,5 @@ def test_no_routes(messages):
 def test_counting_and_routing_parse_once(messages):
     tagged = match_routes(messages, {"r1": "t = 'a'", "r2": "id > 1"})
     counted = count_matches(tagged, ["r1", "r2"])
-    assert counted._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    for df in (counted, fan_out(messages, {"r1": "t = 'a'", "r2": "id > 1"}), tagged):
+        assert df._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace import ConnectorSink, FieldPlan, FileSink, PipelineConfig, RoutePlan, TableSink, run_stream, write_batch
-from millrace.sources.messages import kafka_options, text_messages, text_values
+from millrace.sources.messages import kafka_options, spread, text_messages, text_values
 from millrace.sources.storage import shared_folder
 
 ROUTES = (
@@ -167,7 +167,7 @@ def test_rebalance_by_day(spark, tmp_path):
     df = spark.range(3000, numPartitions=12).select(
         F.format_string('{"p":{"id":%d,"kind":"a"}}', "id").alias("value"),
         F.timestamp_seconds(F.col("id") * 3600).alias("at"))
-    sink = FileSink(str(tmp_path), rebalance=True)
+    sink = FileSink(str(tmp_path))
     write_batch(df, ROUTES[:1], CONFIG, sink, "at")
     days = sink.read(spark, ROUTES[0])
     assert days.count() == 3000
@@ -188,5 +188,32 @@ def test_text_values(spark):
     assert text_values(df, "body").collect() == [("{}",)]
 
 
+def test_spread(spark):
+    assert spread(spark.range(10, numPartitions=2), 6).rdd.getNumPartitions() == 6
+    assert spread(spark.range(10, numPartitions=9), 6).rdd.getNumPartitions() == 9
+
+
 def test_shared_folder_is_the_one_the_session_names(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_clock_column_of_the_stream(spark, tmp_path):
+    path = str(tmp_path / "in")
+    spark.range(48).select(
+        F.format_string('{"p":{"id":%d,"kind":"a"}}', "id").alias("value"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("timestamp"),
+    ).write.parquet(path)
+    stream = spark.readStream.schema("value string, timestamp timestamp").parquet(path)
+    sink = FileSink(str(tmp_path / "out"))
+    assert finish(run_stream(stream, ROUTES[:1], CONFIG, sink, str(tmp_path / "cp"), available_now=True, clock="timestamp"))
+    assert sorted(r["periodo"] for r in sink.read(spark, ROUTES[0]).select("periodo").distinct().collect()) == [
+        19700101, 19700102]
+
+
+def test_omitted_columns_read_back_merged(spark, tmp_path):
+    config = PipelineConfig("x", None, "p", missing="omit")
+    sink = FileSink(str(tmp_path))
+    for batch, text in enumerate(['{"p":{"id":1,"kind":"a"}}', '{"p":{"kind":"a"}}']):
+        write_batch(spark.createDataFrame([(text,)], "value string"), ROUTES[:1], config, sink, batch_id=batch)
+    rows = sink.read(spark, ROUTES[0], merge_schema=True).select("id", "kind").collect()
+    assert sorted(map(tuple, rows), key=str) == [(1, "a"), (None, "a")]

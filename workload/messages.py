@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import PipelineConfig, Registry, registry_from_frames
+from millrace.sources.messages import spread
 
 TIME_ZONE = "America/Bogota"
 IDENTIFIER = "events_app"
@@ -54,9 +55,9 @@ def k_of(props: str = "props") -> Column:
     return F.from_json(props, "k INT")["k"]
 
 
-def payload() -> Column:
+def payload(k: str | Column = "k") -> Column:
     """Payload of one event. ``details`` has one to four entries."""
-    k = k_of()
+    k = F.col(k) if isinstance(k, str) else k
     entries = [
         ("K", k.cast("string")),
         ("USER", F.col("user_id").cast("string")),
@@ -87,9 +88,8 @@ def with_message(
         body = F.to_json(F.struct(payload().alias(payload_name)))
     else:
         body = F.concat(F.lit('{"'), payload_name, F.lit('":'), F.to_json(payload()), F.lit("}"))
-    return events.select(
-        "*", F.concat(prefix, body).alias("message")
-    ).withColumnRenamed("value", "amount").withColumnRenamed("message", "value")
+    made = spread(events).withColumn("k", k_of()).withColumn("message", F.concat(prefix, body))
+    return made.withColumnsRenamed({"value": "amount", "message": "value"})
 
 
 def event_messages(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -43,8 +43,6 @@ from workload.messages import (
     event_config,
     event_messages,
     event_registry,
-    k_of,
-    payload,
     table,
     with_message,
 )
@@ -93,13 +91,13 @@ def parse_declared(spark, sf_dir):
 def parse_inferred(spark, sf_dir):
     """``mixed`` is a number in clicks, an object in errors and text elsewhere."""
     mixed = (
-        F.when(F.col("event_type") == "click", k_of().cast("string"))
-        .when(F.col("event_type") == "error", F.to_json(F.struct(k_of().alias("k"))))
+        F.when(F.col("event_type") == "click", F.col("k").cast("string"))
+        .when(F.col("event_type") == "error", F.to_json(F.struct("k")))
         .otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
     )
-    body = F.to_json(F.struct(payload().alias("jsonPayload")))
-    opened = F.concat(F.lit('{"mixed":'), mixed, F.lit(","), F.substring(body, 2, 2**31 - 1))
-    text = table(spark, sf_dir, "events").select(opened.alias("value"))
+    messages = with_message(table(spark, sf_dir, "events"), prefix=F.lit(""))
+    rest = F.substring("value", 2, 2**31 - 1)
+    text = messages.select(F.concat(F.lit('{"mixed":'), mixed, F.lit(","), rest).alias("value"))
     message = parse_messages(text, infer_message_schema(text))
     return message.select(
         *[F.col(f"jsonPayload.{p}").alias(p.rsplit(".", 1)[-1]) for p in BASE], "mixed"
@@ -468,7 +466,7 @@ def _read_targets(spark: SparkSession, sink: FileSink, plans: tuple[RoutePlan, .
 
 def sink_append(spark, sf_dir):
     """Every route written, then read back by target; the day key prunes folders."""
-    sink = FileSink(scratch_path(spark, "tables"), rebalance=True)
+    sink = FileSink(scratch_path(spark, "tables"))
     plans = compile_routes(event_registry(spark), event_config().identifier)
     write_batch(event_messages(spark, sf_dir), plans, event_config(), sink, "ts")
     df = _read_targets(spark, sink, plans).withColumn("route", F.col("target"))
@@ -477,7 +475,7 @@ def sink_append(spark, sf_dir):
 
 def sink_report(spark, sf_dir):
     """Rows and outcome of every route as the writer reports them."""
-    sink = FileSink(scratch_path(spark, "tables"), rebalance=True)
+    sink = FileSink(scratch_path(spark, "tables"))
     reports = write_batch(event_messages(spark, sf_dir), event_registry(spark), event_config(), sink, "ts")
     return spark.createDataFrame([(r.route, r.rows, r.ok) for r in reports], "route string, rows long, ok boolean")
 
