@@ -53,7 +53,7 @@ class PipelineConfig:
 
     on_error: str = "fail"
     reuse: str = "persist"
-    rows_per_file: int = 2_000_000
+    rows_per_file: int = 250_000
     route_threads: int = 4
 
     def __post_init__(self) -> None:

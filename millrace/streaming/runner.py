@@ -137,9 +137,8 @@ def _laid_out(
     """
     if many_days:
         return rows.hint("rebalance", config.period_column)
-    if 2 * ceil(count / config.rows_per_file) <= partitions:
-        return rows.hint("rebalance")
-    return rows
+    files = max(1, ceil(count / config.rows_per_file))
+    return rows.repartition(files) if 2 * files <= partitions else rows
 
 
 def run_stream(

@@ -30,6 +30,11 @@ def test_row_index_by_a_hot_key(spark):
     assert len(sizes) > 4 and max(sizes) < 20_000
 
 
+def test_row_index_moves_no_rows_to_number_them(spark):
+    plan = row_index(spark.range(1000, numPartitions=4))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
 def test_row_index_of_nothing(spark):
     assert row_index(spark.range(0)).collect() == []
 

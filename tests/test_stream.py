@@ -160,7 +160,7 @@ def test_many_thin_partitions_become_one_file(spark, tmp_path):
     sink = FileSink(str(tmp_path))
     write_batch(df, ROUTES[:1], CONFIG, sink)
     assert sink.read(spark, ROUTES[0]).count() == 2000
-    assert len(sink.read(spark, ROUTES[0]).inputFiles()) <= 2
+    assert len(sink.read(spark, ROUTES[0]).inputFiles()) == 1
 
 
 def test_rebalance_by_day(spark, tmp_path):
