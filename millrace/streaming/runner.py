@@ -35,6 +35,9 @@ class RouteReport:
     error: str | None = None
 
 
+# Route name in the report of a batch that failed before any route was tried.
+ALL_ROUTES = "*"
+
 Reporter = Callable[[list[RouteReport]], None]
 
 
@@ -69,7 +72,9 @@ def write_batch(
     plans = _plans(registry, config)
     reports: list[RouteReport] = []
     routed = route_messages(df, plans, config, clock)
-    if routed is not None:
+    if routed is None:
+        log.info("batch %s: no message has %s", batch_id, config.payload_column)
+    else:
         held = routed.hold()
         try:
             counts = held.counts()
@@ -117,7 +122,8 @@ def _write_route(
             rows = held.messages(plan).count()
         if rows or replay:
             out = held.rows(plan)
-            sink.write(_laid_out(out, rows, counts["partitions"], held.config, many_days), plan, batch_id)
+            out = _laid_out(out, rows, counts["partitions"], held.config, many_days)
+            sink.write(out, plan, batch_id, replay)
         return RouteReport(batch_id, plan.route_id, rows, True)
     except Exception as problem:
         log.exception("batch %s, route %s failed", batch_id, plan.route_id)
@@ -168,7 +174,14 @@ def run_stream(
 
     def each_batch(batch: DataFrame, batch_id: int) -> None:
         # Only the first batch after a start can have been tried before.
-        write_batch(batch, plans, config, sink, time_column, batch_id, not started, on_report)
+        try:
+            write_batch(batch, plans, config, sink, time_column, batch_id, not started, on_report)
+        except Exception as problem:
+            if config.on_error == "fail":
+                raise
+            log.exception("batch %s skipped", batch_id)
+            if on_report is not None:
+                on_report([RouteReport(batch_id, ALL_ROUTES, 0, False, str(problem))])
         if not started:
             started.append(batch_id)
 

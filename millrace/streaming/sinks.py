@@ -1,7 +1,7 @@
 """Targets of the routes.
 
-A sink has ``write(rows, plan, batch_id)``. ``batch_id`` is ``None`` for a batch
-job; in a stream the same id comes again when a batch is replayed.
+``batch_id`` is ``None`` for a batch job. In a stream the same id comes again when
+a batch is replayed; ``replay`` says that this may be such a case.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,35 +20,57 @@ from millrace.plans.registry import RoutePlan, target_name
 
 
 class Sink(Protocol):
-    def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None: ...
+    def write(
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+    ) -> None: ...
 
 
 @dataclass(frozen=True)
 class FileSink:
-    """Files under ``<root>/<db>/<table>``, partitioned by the day key.
+    """Files under ``<root>/<db>/<table>``, in one folder per day key.
 
-    A streamed batch owns the folder ``batch_id=<n>/route=<r>`` and overwrites it
-    as a whole, so a replay leaves exactly what it wrote last, also when it now
-    has other days or no rows.
+    Below the day a streamed batch and route have a folder of their own, which
+    is overwritten when the batch comes again. Folders of other days that an
+    earlier try of the batch left are emptied first.
     """
 
     root: str
     format: str = "parquet"
-    partition_by: tuple[str, ...] = (PERIOD_COLUMN,)
+    period_column: str = PERIOD_COLUMN
     options: Mapping[str, str] = field(default_factory=dict)
 
     def path(self, plan: RoutePlan) -> str:
         return f"{self.root}/{plan.db}/{plan.table}"
 
-    def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None:
-        days = [c for c in self.partition_by if c in rows.columns]
-        writer = rows.write.format(self.format).options(**self.options).partitionBy(*days)
+    def write(
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+    ) -> None:
         if batch_id is None:
-            writer.mode("append").save(self.path(plan))
+            writer = rows.write.mode("append").partitionBy(self.period_column)
+        else:
+            if replay:
+                self._clear(rows, plan, batch_id)
+            writer = _marked(rows, plan, batch_id).write.mode("overwrite")
+            writer = writer.option("partitionOverwriteMode", "dynamic")
+            writer = writer.partitionBy(self.period_column, "batch_id", "route")
+        writer.format(self.format).options(**self.options).save(self.path(plan))
+
+    def _clear(self, rows: DataFrame, plan: RoutePlan, batch_id: int) -> None:
+        """Empty what an earlier try of a batch wrote; runs once per stream start."""
+        spark = rows.sparkSession
+        try:
+            stored = self.read(spark, plan)
+        except AnalysisException:
+            return  # nothing was ever written
+        if "batch_id" not in stored.columns:
             return
-        writer.mode("overwrite").option("partitionOverwriteMode", "static").save(
-            f"{self.path(plan)}/batch_id={batch_id}/route={plan.route_id}"
-        )
+        own = (F.col("batch_id") == batch_id) & (F.col("route") == plan.route_id)
+        nothing = spark.createDataFrame([], rows.drop(self.period_column).schema)
+        for row in stored.filter(own).select(self.period_column).distinct().collect():
+            day = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
+            folder = f"{self.period_column}={day}/batch_id={batch_id}/route={plan.route_id}"
+            writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
+            writer.format(self.format).options(**self.options).save(f"{self.path(plan)}/{folder}")
 
     def read(
         self, spark: SparkSession, plan: RoutePlan, merge_schema: bool = False
@@ -58,6 +81,12 @@ class FileSink:
         return reader.load(self.path(plan))
 
 
+def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> DataFrame:
+    return rows.withColumns(
+        {"batch_id": F.lit(batch_id).cast("long"), "route": F.lit(plan.route_id)}
+    )
+
+
 @dataclass(frozen=True)
 class TableSink:
     """Catalog tables ``db.table``, partitioned by batch, route and day.
@@ -67,18 +96,19 @@ class TableSink:
     """
 
     format: str = "parquet"
-    partition_by: tuple[str, ...] = (PERIOD_COLUMN,)
+    period_column: str = PERIOD_COLUMN
 
     def name(self, plan: RoutePlan) -> str:
         return f"{quote(plan.db)}.{quote(plan.table)}"
 
-    def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None:
+    def write(
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+    ) -> None:
         spark, name = rows.sparkSession, self.name(plan)
-        number = F.lit(batch_id).cast("long")
-        marked = rows.withColumns({"batch_id": number, "route": F.lit(plan.route_id)})
+        marked = _marked(rows, plan, batch_id)
         if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(plan.db)}")
-            keys = ["batch_id", "route", *self.partition_by]
+            keys = ["batch_id", "route", self.period_column]
             empty = marked.limit(0).write.format(self.format).partitionBy(*keys)
             empty.mode("ignore").saveAsTable(name)
         columns = spark.table(name).columns
@@ -88,10 +118,9 @@ class TableSink:
             marked.select(*[quote(c) for c in columns]).write.insertInto(name)
             return
         own = [quote(c) for c in columns if c not in ("batch_id", "route")]
-        days = "".join(f", {quote(c)}" for c in self.partition_by)
         spark.sql(
-            f"INSERT OVERWRITE TABLE {name} "
-            f"PARTITION (batch_id = {batch_id}, route = '{plan.route_id}'{days}) "
+            f"INSERT OVERWRITE TABLE {name} PARTITION "
+            f"(batch_id = {batch_id}, route = '{plan.route_id}', {quote(self.period_column)}) "
             f"SELECT {', '.join(own)} FROM {{rows}}",
             rows=rows,
         )
@@ -110,7 +139,9 @@ class ConnectorSink:
     pattern: str = "{db}.{table}"
     options: Mapping[str, str] = field(default_factory=dict)
 
-    def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None:
+    def write(
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+    ) -> None:
         target = target_name(plan.db, plan.table, self.pattern)
         writer = rows.write.format(self.format).options(**self.options)
         writer.option(self.table_option, target).mode("append").save()

@@ -30,10 +30,10 @@ class Breaks:
     def __init__(self, inner, batch, after):
         self.inner, self.batch, self.after, self.left = inner, batch, after, 1
 
-    def write(self, rows, plan, batch_id):
+    def write(self, rows, plan, batch_id, replay=False):
         breaks = batch_id == self.batch and plan.route_id == "002_b" and self.left
         if not breaks or self.after:
-            self.inner.write(rows, plan, batch_id)
+            self.inner.write(rows, plan, batch_id, replay)
         if breaks:
             self.left = 0
             raise OSError("broken")
@@ -84,7 +84,7 @@ def test_replay_keeps_its_ingest_time(spark, source, tmp_path):
     seen = []
 
     class Notes:
-        def write(self, rows, plan, batch_id):
+        def write(self, rows, plan, batch_id, replay=False):
             seen.append((batch_id, rows.select("fecha_hora_kudu").first()[0]))
             if len(seen) == 1:
                 raise OSError("broken")
@@ -124,6 +124,35 @@ def test_skip_goes_on(spark, source, tmp_path):
     assert {r.route for r in failed} == {"003_x"} and len(failed) == 4 and "no" in failed[0].error
 
 
+def test_skip_survives_a_batch_that_cannot_be_read(spark, tmp_path):
+    """The second batch has a schema no route can be built on; the third is fine."""
+    path, reports, sink = str(tmp_path / "in"), [], FileSink(str(tmp_path / "out"))
+    os.mkdir(path)
+    config = PipelineConfig("x", "p STRUCT<id: INT, kind: STRING>", "p", on_error="skip")
+    for n, text in enumerate(['{"p":{"id":1,"kind":"a"}}', "BOOM", '{"p":{"id":2,"kind":"a"}}']):
+        with open(f"{path}/{n}.txt", "w") as out:
+            out.write(text + "\n")
+        os.utime(f"{path}/{n}.txt", (n, n))
+    stream = text_messages(spark, path, stream=True, max_files_per_trigger=1)
+    explode = F.when(F.col("value") == "BOOM", F.raise_error(F.lit("boom"))).otherwise(F.col("value"))
+    stream = stream.select(explode.cast("string").alias("value"))
+    assert finish(run_stream(stream, ROUTES[:1], config, sink, str(tmp_path / "cp"), available_now=True,
+                             on_report=reports.extend))
+    assert [(r.batch_id, r.route, r.ok) for r in reports] == [(0, "001_a", True), (1, "*", False), (2, "001_a", True)]
+    assert sorted(r["id"] for r in sink.read(spark, ROUTES[0]).collect()) == [1, 2]
+
+
+def test_a_replay_clears_only_its_own_rows(spark, tmp_path):
+    """Other batches and other routes of the same day stay."""
+    sink = FileSink(str(tmp_path))
+    df = spark.createDataFrame([('{"p":{"id":60,"kind":"a"}}',)], "value string")
+    write_batch(df, ROUTES, CONFIG, sink, batch_id=0)
+    write_batch(df, ROUTES, CONFIG, sink, batch_id=1, replay=True)
+    write_batch(df, ROUTES[:1], CONFIG, sink, batch_id=1, replay=True)
+    rows = sink.read(spark, ROUTES[0]).select("batch_id", "route").collect()
+    assert sorted(map(tuple, rows)) == [(0, "001_a"), (0, "002_b"), (1, "001_a"), (1, "002_b")]
+
+
 def test_fail_is_the_default(spark, source, tmp_path):
     bad = RoutePlan("003_x", "S", "p.no.such = 1", "db", "x", ROUTES[0].fields)
     sink = FileSink(str(tmp_path / "out"))

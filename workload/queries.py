@@ -490,8 +490,10 @@ class FailsOnce:
     def __init__(self, inner: FileSink) -> None:
         self.inner, self.failed = inner, False
 
-    def write(self, rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> None:
-        self.inner.write(rows, plan, batch_id)
+    def write(
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+    ) -> None:
+        self.inner.write(rows, plan, batch_id, replay)
         if not self.failed:
             self.failed = True
             raise OSError("lost after the write")
