@@ -32,6 +32,7 @@ _TOKEN = re.compile(rf"(?P<quoted>{_QUOTED})|(?P<path>(?<![\w.`])({_PATH}))(?P<c
 _SELECT_ALL = re.compile(
     rf"^\s*SELECT\s+\*\s+FROM\s+{MESSAGE_VIEW}(?:\s+WHERE\s+(?P<condition>.*?))?\s*;?\s*$", re.I | re.S
 )
+_VIEW_PREFIX = re.compile(rf"^`?{MESSAGE_VIEW}`?\.", re.I)
 _SELECT = re.compile(r"^\s*(?:SELECT|WITH)\b", re.I)
 _PAIR_PATH = re.compile(r"^[^\s&=<>()']+$")
 
@@ -86,7 +87,7 @@ def predicate_paths(text: str, keywords: bool = False) -> list[str]:
     found = _SELECT_ALL.match(text)
     paths = []
     for token in _TOKEN.finditer(found["condition"] or "" if found else text):
-        path = token["path"]
+        path = _VIEW_PREFIX.sub("", token["path"] or "")
         if path and not token["call"] and (keywords or path.lower() not in _KEYWORDS):
             paths.append(path)
     return list(dict.fromkeys(paths))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,7 +26,8 @@ def route_filter(df: DataFrame, predicate: str, parsed: bool = True) -> DataFram
     with lenient(df.sparkSession):
         column = predicate_column(predicate, df.schema)
         if column is not None:
-            return keep_matching(df, column) if parsed else df.filter(column)
+            named = df.alias(MESSAGE_VIEW)
+            return keep_matching(named, column) if parsed else named.filter(column)
         df.createOrReplaceTempView(MESSAGE_VIEW)
         return df.sparkSession.sql(safe_positions(predicate))
 
@@ -59,7 +59,7 @@ def match_routes(df: DataFrame, predicates: Mapping[str, str]) -> DataFrame:
             F.coalesce(predicate_column(text, schema).cast("boolean"), F.lit(False)).alias(flag(route))
             for route, text in predicates.items()
         ]
-        return df.select("*", *flags)
+        return df.alias(MESSAGE_VIEW).select("*", *flags)
 
 
 def flag(route: str) -> str:
@@ -72,7 +72,8 @@ def matched(route: str) -> Column:
 
 
 def any_match(routes: Sequence[str]) -> Column:
-    return reduce(lambda left, right: left | right, [matched(r) for r in routes], F.lit(False))
+    flags = [F.lit(False), *[matched(route) for route in routes]]
+    return F.greatest(*flags) if routes else flags[0]
 
 
 def tag_routes(df: DataFrame, predicates: Mapping[str, str], column: str = "routes") -> DataFrame:

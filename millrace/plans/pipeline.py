@@ -81,7 +81,7 @@ class Routed:
         """
         if self.config.reuse == "none":
             return self
-        wanted = any_match(self.filters)
+        wanted = "_wanted"
         paths = dict.fromkeys(
             f.path
             for p in self.plans
@@ -92,9 +92,9 @@ class Routed:
         kept = [c for c in self.frame.columns if c == CLOCK or c.startswith(flag(""))]
         if self.selects:
             kept = list(self.frame.columns)
-        frame = self.frame.select(
+        frame = self.frame.withColumn(wanted, any_match(self.filters)).select(
             *[quote(c) for c in kept],
-            *[F.when(wanted, path_column(path)).alias(slot) for path, slot in slots.items()],
+            *[F.when(F.col(wanted), path_column(path)).alias(slot) for path, slot in slots.items()],
         )
         staged = None
         if self.config.reuse == "stage":

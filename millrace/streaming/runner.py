@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -61,7 +62,8 @@ def write_batch(
 ) -> list[RouteReport]:
     """Write every route of a batch: one parse, one count job, one write per route.
 
-    Routes without rows are not written, unless the batch may be a ``replay`` and
+    Without a ``batch_id`` rows are appended; with one, sinks that can replace
+    what the same batch wrote before do so. Routes without rows are not written, unless the batch may be a ``replay`` and
     has to replace what an earlier try left behind.
 
     Different targets are written at the same time from a few driver threads,
@@ -70,6 +72,10 @@ def write_batch(
     ``on_error="fail"`` it raises once all of them are done.
     """
     plans = _plans(registry, config)
+    if clock is None:
+        # One ingest time for all routes, and again if a lost task is rerun.
+        now = F.timestamp_micros(F.lit(time.time_ns() // 1000))
+        df, clock = df.select("value", now.alias(CLOCK)), CLOCK
     reports: list[RouteReport] = []
     routed = route_messages(df, plans, config, clock)
     if routed is None:
@@ -80,7 +86,7 @@ def write_batch(
             counts = held.counts()
             log.info("batch %s: %s", batch_id, counts)
             # The time of the query or of the micro-batch is a single day.
-            many_days = config.period_source is not None or clock not in (None, CLOCK)
+            many_days = config.period_source is not None or clock != CLOCK
             targets: dict[str, list[RoutePlan]] = {}
             for plan in plans:
                 targets.setdefault(plan.target.lower(), []).append(plan)

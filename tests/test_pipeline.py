@@ -42,9 +42,10 @@ def rows(df):
 
 
 @pytest.mark.parametrize("ddl", [DDL, None], ids=["declared", "inferred"])
-def test_end_to_end(any_ansi, messages, ddl):
+@pytest.mark.parametrize("first", ["p.kind&a", "SELECT * FROM DataIN WHERE DataIN.p.kind = 'a'"])
+def test_end_to_end(any_ansi, messages, ddl, first):
     frames = run_batch(
-        messages, [plan("a", "p.kind&a"), plan("end", "SELECT * FROM DataIN WHERE p.steps.name[3] = 'END'")],
+        messages, [plan("a", first), plan("end", "SELECT * FROM DataIN WHERE p.steps.name[3] = 'END'")],
         config(message_schema=ddl), "at")
     assert frames["a"].columns == ["id", "step", "fecha_hora_operacion", "wide", "fecha_hora_kudu", "periodo"]
     ingest = datetime(2020, 5, 5, 21, 0)
@@ -149,3 +150,12 @@ def test_field_names_that_are_sql_words(spark):
     assert run_batch(df, [route], config(message_schema=ddl))["a"].count() == 0
     route = plan("a", "p.end = 'x' AND p.list IS NULL", FIELDS[:1])
     assert run_batch(df, [route], config(message_schema=ddl))["a"].count() == 1
+
+
+def test_all_routes_of_a_batch_share_one_ingest_time(spark, messages, tmp_path):
+    began, sink = datetime.now().astimezone(), FileSink(str(tmp_path))
+    routes = [plan("a", "p.kind&a", table="a"), plan("b", "p.kind&b", table="b")]
+    write_batch(messages.select("value"), routes, config(time_zone=None, reuse="none"), sink)
+    times = {r[0] for p in routes for r in sink.read(spark, p).select("fecha_hora_kudu").collect()}
+    assert len(times) == 1
+    assert abs((times.pop().astimezone() - began).total_seconds()) < 60

@@ -31,6 +31,8 @@ def test_predicate_paths():
     text = "SELECT * FROM DataIN WHERE a.b = 'c.d' AND lower(x.y[3]) IS NOT NULL OR upper(z) = \"q\""
     assert predicate_paths(text) == ["a.b", "x.y[3]", "z"]
     assert predicate_paths("p.q&v&r&w") == ["p.q", "r"]
+    assert predicate_paths("datain.a.b = 1 AND `DataIN`.c IS NULL AND end = 2", keywords=True)[:2] == ["a.b", "AND"]
+    assert "end" in predicate_paths("end = 2", keywords=True) and "end" not in predicate_paths("end = 2")
 
 
 @pytest.fixture()
@@ -52,6 +54,9 @@ def ids(df):
         ("SELECT * FROM DataIN WHERE d.n[1] = 'y'", [2]),
         ("SELECT * FROM DataIN WHERE d.n[1] IS NULL", [1, 3, 4, None]),
         ("SELECT * FROM DataIN", [1, 2, 3, 4, None]),
+        ("SELECT * FROM DataIN WHERE DataIN.d.n[1] = 'y' AND datain.id = 2", [2]),
+        ("SELECT * FROM DataIN x WHERE x.d.n[1] = 'y'", [2]),
+        ("SELECT * FROM DataIN WHERE exists(d, e -> e.n = 'y') AND t LIKE 'b%'", [2]),
         ("t&b", [2]),
         ("t&b&id&2", [2]),
         ("t&b&id&3", []),
@@ -92,6 +97,12 @@ def test_no_routes(messages):
     assert counts["unmatched"] == 5
 
 
+def test_stored_columns_are_tested_in_the_scan(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    plan = route_filter(events, "event_type&error", parsed=False)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(event_type,error)" in plan
+
+
 def test_counting_and_routing_parse_once(messages):
     tagged = match_routes(messages, {"r1": "t = 'a'", "r2": "id > 1"})
     counted = count_matches(tagged, ["r1", "r2"])

@@ -172,6 +172,14 @@ ORACLES: dict[str, str] = {
               FROM events) WHERE place = 1""",
     "pipeline_batch": _PIPELINE,
     "pipeline_inferred": _PIPELINE,
+    "pipeline_split": """SELECT lang AS route, doc_id, lang, substr(text, 1, 5000) AS c0,
+          substr(text, 5001, 5000) AS c1, substr(text, 10001, 5000) AS c2, substr(text, 15001, 5000) AS c3,
+          substr(text, 20001) AS rest FROM documents WHERE lang IN ('en', 'de')""",
+    "pipeline_whole_message": f"""{_E} SELECT CASE WHEN k % 4 = 3 THEN 'finished' ELSE 'started' END AS route,
+          event_id, '01|' || k AS product, CASE WHEN k % 4 = 3 THEN event_id ELSE -1 END AS step
+        FROM e WHERE k % 4 = 3 OR k = 8""",
+    "sink_table": _shown("purchases", "problems", "short_visits"),
+    "sink_connector": _shown("purchases", "problems", "short_visits"),
     "sink_append": _shown("sales.purchases", "ops.problems", "ops.short_visits"),
     "sink_report": f"""{_E} SELECT 'events_app_001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
         UNION ALL SELECT 'events_app_002_problems', count(*), true FROM e WHERE {_PROBLEMS}

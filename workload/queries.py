@@ -2,14 +2,25 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace import FieldPlan, FileSink, RoutePlan, compile_routes, run_batch, run_stream, write_batch
-from millrace.functions.casts import cast_column
+from millrace import (
+    ConnectorSink,
+    FieldPlan,
+    FileSink,
+    RoutePlan,
+    TableSink,
+    compile_routes,
+    run_batch,
+    run_stream,
+    write_batch,
+)
 from millrace.functions.times import normalise_iso_text
 from millrace.operators.enrich import enrich
 from millrace.operators.envelope import (
@@ -25,7 +36,7 @@ from millrace.operators.project import cast_fields, project_fields
 from millrace.operators.route import count_matches, fan_out, match_routes, route_filter, unmatched
 from millrace.operators.split import split_wide
 from millrace.plans.registry import routes_with_fields, undefined_structures
-from millrace.sources.messages import text_messages, text_values
+from millrace.sources.messages import spread, text_messages, text_values
 from millrace.sources.registry import (
     Registry,
     registry_from_csv,
@@ -43,6 +54,8 @@ from workload.messages import (
     event_config,
     event_messages,
     event_registry,
+    k_of,
+    payload,
     table,
     with_message,
 )
@@ -419,9 +432,6 @@ def latest_by_key_query(spark, sf_dir):
 
 # -- whole pipeline -----------------------------------------------------------
 
-OUT = ["route", "event_id", "user_id", "event_type", "whole_value", "second_step", "last_step"]
-
-
 def _union(frames: dict[str, DataFrame]) -> DataFrame:
     named = [df.withColumn("route", F.lit(route)) for route, df in frames.items()]
     return reduce(lambda left, right: left.unionByName(right, allowMissingColumns=True), named)
@@ -455,6 +465,51 @@ def pipeline_inferred(spark, sf_dir):
     return _shown(_union(frames))
 
 
+def pipeline_split(spark, sf_dir):
+    """Whole documents as messages, routed by language, the text split over columns."""
+    body = F.struct(F.struct("doc_id", "lang", "text").alias("jsonPayload"))
+    messages = spread(table(spark, sf_dir, "documents")).select(F.to_json(body).alias("value"))
+    fields = tuple(FieldPlan(f"jsonPayload.{n}", n, t) for n, t in (("doc_id", "Bigint"), ("lang", "String"), ("text", "String")))
+    plans = [
+        RoutePlan(lang, "DOC", f"jsonPayload.lang&{lang}", "docs", lang, fields) for lang in ("en", "de")
+    ]
+    config = event_config(
+        message_schema="jsonPayload STRUCT<doc_id: BIGINT, lang: STRING, text: STRING>",
+        split_column="text",
+        split_capacity=5001,
+        split_names=tuple(CHUNKS),
+        split_rest="rest",
+    )
+    return _union(run_batch(messages, plans, config)).drop("fecha_hora_kudu", "periodo")
+
+
+def pipeline_whole_message(spark, sf_dir):
+    """Messages without a payload column, matched on a position of a nested array."""
+    product = F.struct(
+        F.concat(F.lit("01|"), F.col("k").cast("string")).alias("type"),
+        F.struct(payload()["details"].alias("details")).alias("details_product"),
+    )
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
+    operation = F.struct("event_type", product.alias("product"))
+    messages = events.select(F.to_json(F.struct("event_id", operation.alias("operation"))).alias("value"))
+    fields = (
+        FieldPlan("event_id", "event_id", "Bigint"),
+        FieldPlan("operation.product.type", "product", "String"),
+        FieldPlan("operation.product.details_product.details.value[3]", "step", "Bigint"),
+    )
+    at = "operation.product.details_product.details.name[3]"
+    plans = [
+        RoutePlan("finished", "OP", f"SELECT * FROM DataIN WHERE {at} = 'LAST_STEP'", "ops", "finished", fields),
+        RoutePlan(
+            "started", "OP", f"SELECT * FROM DataIN WHERE operation.product.type = '01|8' AND {at} IS NULL",
+            "ops", "started", fields,
+        ),
+    ]
+    config = event_config(message_schema=None, payload_column=None)
+    rows = _union(run_batch(messages, plans, config))
+    return rows.select("route", "event_id", "product", F.coalesce("step", F.lit(-1)).alias("step"))
+
+
 def _read_targets(spark: SparkSession, sink: FileSink, plans: tuple[RoutePlan, ...]) -> DataFrame:
     seen = {plan.target: plan for plan in plans}.values()
     frames = {plan.target: sink.read(spark, plan) for plan in seen}
@@ -473,6 +528,25 @@ def sink_append(spark, sf_dir):
     return _shown(df).drop("target")
 
 
+def sink_table(spark, sf_dir):
+    """Every route written to a catalog table, each target in a database of this run."""
+    name = f"workload_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    plans = [replace(p, db=name) for p in compile_routes(event_registry(spark), event_config().identifier)]
+    sink = TableSink()
+    write_batch(event_messages(spark, sf_dir), plans, event_config(), sink, "ts")
+    return _shown(_union({p.table: spark.table(sink.name(p)).drop("route") for p in plans}))
+
+
+def sink_connector(spark, sf_dir):
+    """Every route appended through a data source that is told its target by an option."""
+    root = scratch_path(spark, "store")
+    sink = ConnectorSink("parquet", "path", root + "/{db}__{table}")
+    plans = compile_routes(event_registry(spark), event_config().identifier)
+    write_batch(event_messages(spark, sf_dir), plans, event_config(), sink, "ts")
+    return _shown(_union({p.table: spark.read.parquet(f"{root}/{p.db}__{p.table}") for p in plans}))
+
+
 def sink_report(spark, sf_dir):
     """Rows and outcome of every route as the writer reports them."""
     sink = FileSink(scratch_path(spark, "tables"))
@@ -586,7 +660,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_by_key": latest_by_key_query,
     "pipeline_batch": pipeline_batch,
     "pipeline_inferred": pipeline_inferred,
+    "pipeline_split": pipeline_split,
+    "pipeline_whole_message": pipeline_whole_message,
     "sink_append": sink_append,
+    "sink_table": sink_table,
+    "sink_connector": sink_connector,
     "sink_report": sink_report,
     "stream_route": stream_route,
     "stream_inferred": stream_inferred,
