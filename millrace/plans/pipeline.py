@@ -221,16 +221,19 @@ def _match(
     frame = parse_messages(text, schema)
     if config.payload_column is not None:
         frame = payload_gate(frame, config.payload_column, (CLOCK,) if clock is not None else ())
-    predicates, errors = {}, {}
-    for plan in plans:
-        if not is_filter(plan.predicate):
-            continue
-        try:
-            route_filter(frame, plan.predicate)
-            predicates[plan.route_id] = plan.predicate
-        except PySparkException as problem:
-            errors[plan.route_id] = str(problem)
-    return Routed(match_routes(frame, predicates), known, tuple(plans), config, errors)
+    predicates = {plan.route_id: plan.predicate for plan in plans if is_filter(plan.predicate)}
+    errors: dict[str, str] = {}
+    try:
+        flagged = match_routes(frame, predicates)
+    except PySparkException:
+        for route, predicate in list(predicates.items()):
+            try:
+                route_filter(frame, predicate)
+            except PySparkException as problem:
+                errors[route] = str(problem)
+                del predicates[route]
+        flagged = match_routes(frame, predicates)
+    return Routed(flagged, known, tuple(plans), config, errors)
 
 
 def _inside(paths: list[str], payload_column: str | None) -> list[str]:
