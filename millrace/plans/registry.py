@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.config import ACTIVE_STATUS
+from millrace.functions.paths import parse_path
 from millrace.operators.project import FieldPlan
 from millrace.sources.registry import Registry
 
@@ -21,8 +22,7 @@ MAX_ROUTES = 10_000
 class RoutePlan:
     """One route: who gets in, which columns come out and where they go.
 
-    The id names identifier, position and table, so that two identifiers can
-    share a target.
+    The id names identifier, position and table, also in reports and folders.
     """
 
     route_id: str
@@ -91,6 +91,8 @@ def compile_routes(
 
 def _plan(number: int, row) -> RoutePlan:
     fields = tuple(FieldPlan(f["path"], f["name"], f["type"] or None) for f in row["fields"])
+    for field in fields:
+        parse_path(field.path)  # a malformed path is refused here, not in a batch
     names = [field.name.lower() for field in fields]
     repeated = sorted({name for name in names if names.count(name) > 1})
     if repeated:

@@ -29,7 +29,7 @@ log = logging.getLogger("millrace")
 class RouteReport:
     """What became of one route in one batch."""
 
-    batch_id: int | None
+    batch_id: int | str | None
     route: str
     rows: int
     ok: bool
@@ -56,15 +56,16 @@ def write_batch(
     config: PipelineConfig,
     sink: Sink,
     clock: str | None = None,
-    batch_id: int | None = None,
+    batch_id: int | str | None = None,
     replay: bool = False,
     on_report: Reporter | None = None,
 ) -> list[RouteReport]:
     """Write every route of a batch: one parse, one count job, one write per route.
 
     Without a ``batch_id`` rows are appended; with one, sinks that can replace
-    what the same batch wrote before do so. Routes without rows are not written, unless the batch may be a ``replay`` and
-    has to replace what an earlier try left behind.
+    what the same batch wrote before do so. Routes without rows are not written,
+    unless the batch may be a ``replay`` and has to replace what an earlier try
+    left behind.
 
     Different targets are written at the same time from a few driver threads,
     the routes of one target one after the other, since two jobs must not commit
@@ -100,8 +101,8 @@ def write_batch(
             write = inheritable_thread_target(df.sparkSession)(write_target)
             with ThreadPoolExecutor(min(config.route_threads, len(targets))) as pool:
                 done = [r for part in pool.map(write, targets.values()) for r in part]
-            order = [plan.route_id for plan in plans]
-            reports = sorted(done, key=lambda report: order.index(report.route))
+            order = {plan.route_id: place for place, plan in enumerate(plans)}
+            reports = sorted(done, key=lambda report: order[report.route])
         finally:
             held.release()
     if on_report is not None:
@@ -116,7 +117,7 @@ def _write_route(
     plan: RoutePlan,
     counts: dict[str, int],
     sink: Sink,
-    batch_id: int | None,
+    batch_id: int | str | None,
     replay: bool,
     many_days: bool,
 ) -> RouteReport:
@@ -174,21 +175,27 @@ def run_stream(
     """
     plans = _plans(registry, config)
     time_column = CLOCK if clock is None else clock
-    started: list[int] = []
+    started: list[str] = []
     now = F.current_timestamp() if clock is None else F.col(quote(clock))
     timed = stream.select("value", now.alias(time_column))
 
-    def each_batch(batch: DataFrame, batch_id: int) -> None:
+    def each_batch(batch: DataFrame, number: int) -> None:
+        # The query's id is part of its checkpoint. With it in the name, a stream
+        # begun anew does not replace batches of the one before, and streams can
+        # share a target.
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        batch_id = f"{query}_{number}"
         # Only the first batch after a start can have been tried before.
+        replay = not started
         try:
-            write_batch(batch, plans, config, sink, time_column, batch_id, not started, on_report)
+            write_batch(batch, plans, config, sink, time_column, batch_id, replay, on_report)
         except Exception as problem:
             if config.on_error == "fail":
                 raise
             log.exception("batch %s skipped", batch_id)
             if on_report is not None:
                 on_report([RouteReport(batch_id, ALL_ROUTES, 0, False, str(problem))])
-        if not started:
+        if replay:
             started.append(batch_id)
 
     writer = timed.writeStream.foreachBatch(each_batch).option("checkpointLocation", checkpoint)

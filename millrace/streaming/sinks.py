@@ -1,7 +1,8 @@
 """Targets of the routes.
 
-``batch_id`` is ``None`` for a batch job. In a stream the same id comes again when
-a batch is replayed; ``replay`` says that this may be such a case.
+``batch_id`` is ``None`` for a batch job that just appends. In a stream it names
+the query and the batch, and comes again when a batch is replayed; ``replay`` says
+that this may be such a case.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from millrace.plans.registry import RoutePlan, target_name
 
 class Sink(Protocol):
     def write(
-        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None: ...
 
 
@@ -43,7 +44,7 @@ class FileSink:
         return f"{self.root}/{plan.db}/{plan.table}"
 
     def write(
-        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None:
         if batch_id is None:
             writer = rows.write.mode("append").partitionBy(self.period_column)
@@ -55,16 +56,15 @@ class FileSink:
             writer = writer.partitionBy(self.period_column, "batch_id", "route")
         writer.format(self.format).options(**self.options).save(self.path(plan))
 
-    def _clear(self, rows: DataFrame, plan: RoutePlan, batch_id: int) -> None:
+    def _clear(self, rows: DataFrame, plan: RoutePlan, batch_id: int | str) -> None:
         """Empty what an earlier try of a batch wrote; runs once per stream start."""
         spark = rows.sparkSession
+        reader = spark.read.format(self.format).options(**self.options)
         try:
-            stored = self.read(spark, plan)
+            stored = reader.schema(_marked(rows, plan, batch_id).schema).load(self.path(plan))
         except AnalysisException:
-            return  # nothing was ever written
-        if "batch_id" not in stored.columns:
-            return
-        own = (F.col("batch_id") == batch_id) & (F.col("route") == plan.route_id)
+            return  # the table does not exist yet
+        own = (F.col("batch_id") == str(batch_id)) & (F.col("route") == plan.route_id)
         nothing = spark.createDataFrame([], rows.drop(self.period_column).schema)
         for row in stored.filter(own).select(self.period_column).distinct().collect():
             day = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
@@ -81,9 +81,9 @@ class FileSink:
         return reader.load(self.path(plan))
 
 
-def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | None) -> DataFrame:
+def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | str | None) -> DataFrame:
     return rows.withColumns(
-        {"batch_id": F.lit(batch_id).cast("long"), "route": F.lit(plan.route_id)}
+        {"batch_id": F.lit(None if batch_id is None else str(batch_id)).cast("string"), "route": F.lit(plan.route_id)}
     )
 
 
@@ -102,7 +102,7 @@ class TableSink:
         return f"{quote(plan.db)}.{quote(plan.table)}"
 
     def write(
-        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None:
         spark, name = rows.sparkSession, self.name(plan)
         marked = _marked(rows, plan, batch_id)
@@ -120,7 +120,7 @@ class TableSink:
         own = [quote(c) for c in columns if c not in ("batch_id", "route")]
         spark.sql(
             f"INSERT OVERWRITE TABLE {name} PARTITION "
-            f"(batch_id = {batch_id}, route = '{plan.route_id}', {quote(self.period_column)}) "
+            f"(batch_id = '{batch_id}', route = '{plan.route_id}', {quote(self.period_column)}) "
             f"SELECT {', '.join(own)} FROM {{rows}}",
             rows=rows,
         )
@@ -140,7 +140,7 @@ class ConnectorSink:
     options: Mapping[str, str] = field(default_factory=dict)
 
     def write(
-        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None:
         target = target_name(plan.db, plan.table, self.pattern)
         writer = rows.write.format(self.format).options(**self.options)

@@ -53,6 +53,8 @@ def test_refusals(spark, registry):
         registry.routes, registry.fields.union(registry.fields.replace("p.b", "p.x", "path")))
     with pytest.raises(ValueError, match="twice"):
         compile_routes(twice, "app")
+    with pytest.raises(ValueError, match="not a path"):
+        compile_routes(registry_from_frames(registry.routes, registry.fields.replace("p.b", "p..b", "path")), "app")
     with pytest.raises(ValueError, match="lacks"):
         registry_from_frames(registry.routes.drop("db"), registry.fields)
 

@@ -24,6 +24,10 @@ def source(spark, tmp_path):
     return text_messages(spark, path, stream=True, max_files_per_trigger=1)
 
 
+def number(batch_id):
+    return int(str(batch_id).rsplit("_", 1)[-1])
+
+
 class Breaks:
     """Fails on one batch, once, before or after the write."""
 
@@ -31,7 +35,7 @@ class Breaks:
         self.inner, self.batch, self.after, self.left = inner, batch, after, 1
 
     def write(self, rows, plan, batch_id, replay=False):
-        breaks = batch_id == self.batch and plan.route_id == "002_b" and self.left
+        breaks = number(batch_id) == self.batch and plan.route_id == "002_b" and self.left
         if not breaks or self.after:
             self.inner.write(rows, plan, batch_id, replay)
         if breaks:
@@ -62,7 +66,7 @@ def test_stream_writes_every_route(spark, source, tmp_path):
                              on_report=reports.extend, name="routes"))
     df = sink.read(spark, ROUTES[0])
     assert stored(df) == expected()
-    assert {r.batch_id for r in reports} == {0, 1, 2, 3}
+    assert {number(r.batch_id) for r in reports} == {0, 1, 2, 3}
     assert sum(r.rows for r in reports) == 110 and all(r.ok for r in reports)
     assert df.select("batch_id", "fecha_hora_kudu").distinct().count() == 4
 
@@ -108,9 +112,17 @@ def test_replay_with_other_days_or_no_rows(spark, tmp_path, make):
     write(0, 1)
     write(1, 1)
     write(1, 2)
-    assert sorted((r["batch_id"], r["periodo"]) for r in read().collect()) == [(0, 20200101), (1, 20200102)]
+    assert sorted((int(r["batch_id"]), r["periodo"]) for r in read().collect()) == [(0, 20200101), (1, 20200102)]
     write(1, 3, kind="z")
-    assert sorted((r["batch_id"], r["periodo"]) for r in read().collect()) == [(0, 20200101)]
+    assert sorted((int(r["batch_id"]), r["periodo"]) for r in read().collect()) == [(0, 20200101)]
+
+
+def test_a_stream_begun_anew_adds_to_the_table(spark, source, tmp_path):
+    """A new checkpoint counts batches from zero again; a second stream does too."""
+    sink = FileSink(str(tmp_path / "out"))
+    for state in ("one", "two"):
+        assert finish(run_stream(source, ROUTES, CONFIG, sink, str(tmp_path / state), available_now=True))
+    assert stored(sink.read(spark, ROUTES[0])) == sorted(expected() * 2)
 
 
 def test_skip_goes_on(spark, source, tmp_path):
@@ -138,7 +150,7 @@ def test_skip_survives_a_batch_that_cannot_be_read(spark, tmp_path):
     stream = stream.select(explode.cast("string").alias("value"))
     assert finish(run_stream(stream, ROUTES[:1], config, sink, str(tmp_path / "cp"), available_now=True,
                              on_report=reports.extend))
-    assert [(r.batch_id, r.route, r.ok) for r in reports] == [(0, "001_a", True), (1, "*", False), (2, "001_a", True)]
+    assert [(number(r.batch_id), r.route, r.ok) for r in reports] == [(0, "001_a", True), (1, "*", False), (2, "001_a", True)]
     assert sorted(r["id"] for r in sink.read(spark, ROUTES[0]).collect()) == [1, 2]
 
 

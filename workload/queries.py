@@ -565,7 +565,7 @@ class FailsOnce:
         self.inner, self.failed = inner, False
 
     def write(
-        self, rows: DataFrame, plan: RoutePlan, batch_id: int | None, replay: bool = False
+        self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None:
         self.inner.write(rows, plan, batch_id, replay)
         if not self.failed:
