@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.config import EVENT_TIME_COLUMN, INGEST_COLUMN, PERIOD_COLUMN
-from millrace.functions.paths import quote
+from millrace.functions.paths import has_path, path_type, quote
 from millrace.functions.times import day_key, shift_zone
 
 
@@ -31,14 +31,14 @@ def enrich(
     added = {ingest_column: ingest, period_column: day_key(day_of)}
     if time_zone is not None:
         added[ingest_column] = shift_zone(ingest, time_zone)
-        if event_time_column in df.columns:
+        if has_path(df.schema, quote(event_time_column)):
             added[event_time_column] = shift_zone(_timestamp(df, event_time_column), time_zone)
     return df.withColumns(added)
 
 
 def _timestamp(df: DataFrame, name: str) -> Column:
     """A time column; text that is no timestamp is null."""
-    column, kind = F.col(quote(name)), df.schema[name].dataType
+    column, kind = F.col(quote(name)), path_type(df.schema, quote(name))
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return column
     return column.try_cast("timestamp")

@@ -13,7 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.config import PipelineConfig
-from millrace.functions.paths import only_paths, parse_path, path_column, quote, with_paths
+from millrace.functions.paths import (
+    has_path,
+    only_paths,
+    parse_path,
+    path_column,
+    quote,
+    with_paths,
+)
 from millrace.functions.predicates import predicate_paths
 from millrace.operators.enrich import enrich
 from millrace.operators.envelope import (
@@ -150,7 +157,7 @@ class Routed:
             config.event_time_column,
             config.period_source,
         ).drop(CLOCK)
-        if config.split_column is not None and config.split_column in flat.columns:
+        if config.split_column is not None and has_path(flat.schema, quote(config.split_column)):
             flat = split_wide(
                 flat,
                 config.split_column,

@@ -58,7 +58,7 @@ def _named(df: DataFrame, columns: tuple[str, ...], names: Mapping[str, str]) ->
     if absent:
         raise ValueError(f"registry lacks {absent}; it has {df.columns}")
     order = F.col("ord").cast("long") if "ord" in df.columns else F.monotonically_increasing_id()
-    cells = [F.coalesce(F.trim(F.col(f"`{c}`").cast("string")), F.lit("")).alias(c) for c in columns]
+    cells = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")).alias(c) for c in columns]
     return df.select(*cells, order.alias("ord"))
 
 

@@ -18,6 +18,13 @@ def test_day_key_is_taken_before_the_shift(any_ansi):
     ]
 
 
+def test_event_time_in_another_case(spark):
+    df = spark.createDataFrame([(datetime(2020, 5, 6, 5, 0),)], "Fecha_Hora_Operacion timestamp")
+    out = enrich(df, "America/Bogota", period_source="FECHA_hora_operacion")
+    assert out.columns[1:] == ["fecha_hora_kudu", "periodo"]
+    assert (out.first()[0], out.first()["periodo"]) == (datetime(2020, 5, 6, 0, 0), 20200506)
+
+
 def test_no_event_time_no_zone(any_ansi):
     out = enrich(any_ansi.range(1), clock=F.lit(datetime(2020, 5, 6, 2, 0)))
     assert tuple(out.first()) == (0, datetime(2020, 5, 6, 2, 0), 20200506)

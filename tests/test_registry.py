@@ -59,6 +59,15 @@ def test_refusals(spark, registry):
         registry_from_frames(registry.routes.drop("db"), registry.fields)
 
 
+def test_cells_are_taken_as_written(spark):
+    routes = spark.createDataFrame(
+        [("app", "S", "p.k& two blanks ", "d", "t", None, 1)],
+        "identifier string, structure string, predicate string, db string, `table` string, status string, ord int")
+    fields = spark.createDataFrame([("p.k", "k", None, "S")], "path string, name string, type string, structure string")
+    (only,) = compile_routes(registry_from_frames(routes, fields), "app")
+    assert only.predicate == "p.k& two blanks " and only.fields[0].type is None
+
+
 def test_leading_key_column(spark, tmp_path, registry):
     (tmp_path / "r.csv").write_text("".join(f"{i};{line}\n" for i, line in enumerate(ROUTES.splitlines()[1:])))
     (tmp_path / "f.csv").write_text("".join(f"{i};{line}\n" for i, line in enumerate(FIELDS.splitlines())))
