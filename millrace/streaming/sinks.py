@@ -7,6 +7,7 @@ that this may be such a case.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from typing import Protocol
@@ -30,9 +31,10 @@ class Sink(Protocol):
 class FileSink:
     """Files under ``<root>/<db>/<table>``, in one folder per day key.
 
-    Below the day a streamed batch and route have a folder of their own, which
-    is overwritten when the batch comes again. Folders of other days that an
-    earlier try of the batch left are emptied first.
+    Below the day every batch and route have a folder of their own, so writers
+    do not get in each other's way. It is overwritten when a streamed batch comes
+    again; folders of other days that an earlier try left are emptied first. A
+    batch job without an id gets a new one and so appends.
     """
 
     root: str
@@ -47,14 +49,13 @@ class FileSink:
         self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None:
         if batch_id is None:
-            writer = rows.write.mode("append").partitionBy(self.period_column)
-        else:
-            if replay:
-                self._clear(rows, plan, batch_id)
-            writer = _marked(rows, plan, batch_id).write.mode("overwrite")
-            writer = writer.option("partitionOverwriteMode", "dynamic")
-            writer = writer.partitionBy(self.period_column, "batch_id", "route")
-        writer.format(self.format).options(**self.options).save(self.path(plan))
+            batch_id = f"batch_{uuid.uuid4().hex}"
+        elif replay:
+            self._clear(rows, plan, batch_id)
+        writer = _marked(rows, plan, batch_id).write.format(self.format).options(**self.options)
+        writer = writer.partitionBy(self.period_column, "batch_id", "route")
+        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.save(self.path(plan))
 
     def _clear(self, rows: DataFrame, plan: RoutePlan, batch_id: int | str) -> None:
         """Empty what an earlier try of a batch wrote; runs once per stream start."""

@@ -1,4 +1,5 @@
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -187,6 +188,15 @@ def test_table_sink_appends_in_batches(spark):
     assert spark.table("`8_batches`.t").count() == 2
 
 
+def test_batches_and_streams_share_files(spark, source, tmp_path):
+    sink = FileSink(str(tmp_path / "out"))
+    assert finish(run_stream(source, ROUTES, CONFIG, sink, str(tmp_path / "cp"), available_now=True))
+    df = spark.createDataFrame([('{"p":{"id":500,"kind":"b"}}',)], "value string")
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(lambda _: write_batch(df, ROUTES, CONFIG, sink), range(4)))
+    assert stored(sink.read(spark, ROUTES[0])) == sorted(expected() + [("002_b", 500)] * 4)
+
+
 def test_connector_sink(spark, tmp_path):
     df = spark.createDataFrame([('{"p":{"id":1,"kind":"a"}}',)], "value string")
     sink = ConnectorSink("json", "path", str(tmp_path) + "/{db}__{table}")
