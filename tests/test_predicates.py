@@ -1,4 +1,8 @@
+from concurrent.futures import ThreadPoolExecutor
+
 import pytest
+from hypothesis import given
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.functions.predicates import condition_text, pair_form, predicate_paths, safe_positions
@@ -15,6 +19,16 @@ def test_safe_positions():
     assert safe_positions("x.name[12] = 1") == "get(`x`.`name`, 12) = 1"
 
 
+@given(st.text(alphabet="ab.'\"\\`&=() 0", max_size=30))
+def test_text_without_positions_is_left_alone(text):
+    assert safe_positions(text) == text
+
+
+@given(st.text(alphabet="ab.[]0 ", max_size=20))
+def test_quoted_text_is_left_alone(text):
+    assert safe_positions(f"x = '{text}'") == f"x = '{text}'"
+
+
 def test_forms():
     assert pair_form("p.msm&AUDIT: Ops") == [("p.msm", "AUDIT: Ops")]
     assert pair_form("a&1&b.c&2") == [("a", "1"), ("b.c", "2")]
@@ -78,6 +92,14 @@ def test_ansi_setting_is_left_alone(any_ansi, messages):
     assert any_ansi.conf.get("spark.sql.ansi.enabled") == before
 
 
+def test_ansi_setting_survives_threads(any_ansi, messages):
+    before = any_ansi.conf.get("spark.sql.ansi.enabled")
+    with ThreadPoolExecutor(8) as pool:
+        counts = list(pool.map(lambda _: route_filter(messages, "t = 12").count(), range(16)))
+    assert counts == [1] * 16
+    assert any_ansi.conf.get("spark.sql.ansi.enabled") == before
+
+
 def test_fan_out_is_not_exclusive(any_ansi, messages):
     routes = {"r1": "t = 'a'", "r2": "d.n[0]&x", "r3": "id > 100"}
     tagged = {r["id"]: r["routes"] for r in tag_routes(messages, routes).collect()}
