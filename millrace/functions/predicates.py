@@ -6,7 +6,7 @@ Three text forms are accepted:
 * ``path&value[&path&value...]``, equality per pair, all pairs AND-ed;
 * a bare condition.
 
-Any other ``SELECT`` over ``DataIN`` runs as Spark SQL over a temporary view.
+Any other ``SELECT`` over ``DataIN`` runs as Spark SQL over the messages.
 The condition itself is parsed by Spark; here only ``path[i]`` is rewritten to
 ``get(path, i)``, because plain indexing raises past the end in ANSI mode.
 """
@@ -32,6 +32,7 @@ _TOKEN = re.compile(rf"(?P<quoted>{_QUOTED})|(?P<path>(?<![\w.`])({_PATH}))(?P<c
 _SELECT_ALL = re.compile(
     rf"^\s*SELECT\s+\*\s+FROM\s+{MESSAGE_VIEW}(?:\s+WHERE\s+(?P<condition>.*?))?\s*;?\s*$", re.I | re.S
 )
+_VIEW_NAME = re.compile(rf"^`?{MESSAGE_VIEW}`?", re.I)
 _VIEW_PREFIX = re.compile(rf"^`?{MESSAGE_VIEW}`?\.", re.I)
 _SELECT = re.compile(r"^\s*(?:SELECT|WITH)\b", re.I)
 _PAIR_PATH = re.compile(r"^[^\s&=<>()']+$")
@@ -76,6 +77,19 @@ def safe_positions(text: str) -> str:
     return _TOKEN.sub(rewrite, text)
 
 
+def select_text(text: str) -> str:
+    """A full ``SELECT`` with ``{DataIN}`` for the messages, as ``spark.sql`` takes it."""
+
+    def rewrite(token: re.Match) -> str:
+        path = token["path"]
+        if path is None or parse_path(path)[0].name.lower() != MESSAGE_VIEW.lower():
+            return token[0]
+        return f"{{{MESSAGE_VIEW}}}" + _VIEW_NAME.sub("", path) + (token["call"] or "")
+
+    escaped = safe_positions(text).replace("{", "{{").replace("}", "}}")
+    return _TOKEN.sub(rewrite, escaped)
+
+
 def predicate_paths(text: str, keywords: bool = False) -> list[str]:
     """Field paths a predicate may mention, in order, without repeats.
 

@@ -14,7 +14,7 @@ from millrace.functions.predicates import (
     lenient,
     pair_form,
     predicate_column,
-    safe_positions,
+    select_text,
 )
 
 def route_filter(df: DataFrame, predicate: str, parsed: bool = True) -> DataFrame:
@@ -28,8 +28,7 @@ def route_filter(df: DataFrame, predicate: str, parsed: bool = True) -> DataFram
         if column is not None:
             named = df.alias(MESSAGE_VIEW)
             return keep_matching(named, column) if parsed else named.filter(column)
-        df.createOrReplaceTempView(MESSAGE_VIEW)
-        return df.sparkSession.sql(safe_positions(predicate))
+        return df.sparkSession.sql(select_text(predicate), **{MESSAGE_VIEW: df})
 
 
 def keep_matching(df: DataFrame, condition: Column) -> DataFrame:

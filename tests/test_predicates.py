@@ -5,7 +5,7 @@ from hypothesis import given
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from millrace.functions.predicates import condition_text, pair_form, predicate_paths, safe_positions
+from millrace.functions.predicates import condition_text, pair_form, predicate_paths, safe_positions, select_text
 from millrace.operators.route import (
     any_match, count_matches, fan_out, is_filter, match_routes, route_filter, tag_routes, unmatched,
 )
@@ -41,6 +41,13 @@ def test_forms():
     assert not is_filter("SELECT a FROM DataIN") and is_filter("a&b")
 
 
+def test_select_text():
+    text = "select datain.a[1], '{DataIN}' from DataIN, `DataIN` d where DataINx = 1"
+    assert select_text(text) == (
+        "select get({DataIN}.`a`, 1), '{{DataIN}}' from {DataIN}, {DataIN} d where DataINx = 1"
+    )
+
+
 def test_predicate_paths():
     text = "SELECT * FROM DataIN WHERE a.b = 'c.d' AND lower(x.y[3]) IS NOT NULL OR upper(z) = \"q\""
     assert predicate_paths(text) == ["a.b", "x.y[3]", "z"]
@@ -79,6 +86,8 @@ def ids(df):
         ("t = 12", [4]),
         ("SELECT * FROM DataIN ORDER BY id DESC NULLS LAST", [1, 2, 3, 4, None]),
         ("SELECT id FROM DataIN WHERE d.n[7] IS NULL AND id > 2", [3, 4]),
+        ("SELECT id FROM DataIN WHERE datain.t = 'a' OR DataIN.d.n[1] = 'y' OR t = '{}'", [1, 2]),
+        ("SELECT a.id FROM DataIN a JOIN DataIN b ON a.id = b.id + 1 WHERE b.t = 'a'", [2]),
     ],
 )
 def test_route_filter(any_ansi, messages, text, want):
@@ -92,6 +101,11 @@ def test_ansi_setting_is_left_alone(any_ansi, messages):
     assert any_ansi.conf.get("spark.sql.ansi.enabled") == before
 
 
+def test_no_view_is_left_behind(spark, messages):
+    route_filter(messages, "SELECT id FROM DataIN").count()
+    assert not [t.name for t in spark.catalog.listTables() if "datain" in t.name.lower() or "pyspark" in t.name]
+
+
 def test_ansi_setting_survives_threads(any_ansi, messages):
     before = any_ansi.conf.get("spark.sql.ansi.enabled")
     with ThreadPoolExecutor(8) as pool:
