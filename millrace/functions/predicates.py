@@ -32,6 +32,11 @@ _TOKEN = re.compile(rf"(?P<quoted>{_QUOTED})|(?P<path>(?<![\w.`])({_PATH}))(?P<c
 _SELECT_ALL = re.compile(
     rf"^\s*SELECT\s+\*\s+FROM\s+{MESSAGE_VIEW}(?:\s+WHERE\s+(?P<condition>.*?))?\s*;?\s*$", re.I | re.S
 )
+_MORE_THAN_CONDITION = re.compile(
+    r"\b(SELECT|ORDER|GROUP|HAVING|LIMIT|OFFSET|UNION|INTERSECT|EXCEPT|MINUS|WINDOW|SORT|CLUSTER"
+    r"|DISTRIBUTE|LATERAL)\b",
+    re.I,
+)
 _VIEW_NAME = re.compile(rf"^`?{MESSAGE_VIEW}`?", re.I)
 _VIEW_PREFIX = re.compile(rf"^`?{MESSAGE_VIEW}`?\.", re.I)
 _SELECT = re.compile(r"^\s*(?:SELECT|WITH)\b", re.I)
@@ -56,9 +61,12 @@ def pair_form(text: str) -> list[tuple[str, str]] | None:
 def condition_text(text: str) -> str | None:
     """Filter condition of a predicate; ``None`` when it needs a full ``SELECT``."""
     found = _SELECT_ALL.match(text)
-    if found:
-        return safe_positions(found["condition"] or "true")
-    return None if _SELECT.match(text) else safe_positions(text)
+    if found is None:
+        return None if _SELECT.match(text) else safe_positions(text)
+    condition = found["condition"] or "true"
+    if _MORE_THAN_CONDITION.search(re.sub(_QUOTED, "''", condition, flags=re.S)):
+        return None
+    return safe_positions(condition)
 
 
 def safe_positions(text: str) -> str:

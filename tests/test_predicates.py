@@ -38,6 +38,8 @@ def test_forms():
     assert condition_text("SELECT * FROM DataIN") == "true"
     assert condition_text("x IS NULL") == "x IS NULL"
     assert condition_text("SELECT a FROM DataIN WHERE x = 1") is None
+    assert condition_text("SELECT * FROM DataIN WHERE x = 1 LIMIT 3") is None
+    assert condition_text("SELECT * FROM DataIN WHERE x = 'LIMIT 3'") == "x = 'LIMIT 3'"
     assert not is_filter("SELECT a FROM DataIN") and is_filter("a&b")
 
 
@@ -87,6 +89,10 @@ def ids(df):
         ("SELECT * FROM DataIN ORDER BY id DESC NULLS LAST", [1, 2, 3, 4, None]),
         ("SELECT id FROM DataIN WHERE d.n[7] IS NULL AND id > 2", [3, 4]),
         ("SELECT id FROM DataIN WHERE datain.t = 'a' OR DataIN.d.n[1] = 'y' OR t = '{}'", [1, 2]),
+        ("SELECT * FROM DataIN WHERE id > 1 ORDER BY id LIMIT 2", [2, 3]),
+        ("SELECT * FROM DataIN WHERE id IN (SELECT max(id) FROM DataIN)", [4]),
+        ("SELECT * FROM DataIN WHERE t = 'a' UNION ALL SELECT * FROM DataIN WHERE id = 2", [1, 2]),
+        ("SELECT * FROM DataIN WHERE t <> ' order by limit '", [1, 2, 4]),
         ("SELECT a.id FROM DataIN a JOIN DataIN b ON a.id = b.id + 1 WHERE b.t = 'a'", [2]),
     ],
 )
