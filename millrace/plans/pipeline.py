@@ -72,7 +72,8 @@ class Routed:
     @property
     def filters(self) -> list[str]:
         """Routes that are plain filters and can run."""
-        return [p.route_id for p in self.plans if is_filter(p.predicate) and p.route_id not in self.errors]
+        runnable = [p for p in self.plans if p.route_id not in self.errors]
+        return [p.route_id for p in runnable if is_filter(p.predicate)]
 
     @property
     def selects(self) -> list[RoutePlan]:

@@ -99,7 +99,7 @@ def write_batch(
                 ]
 
             write = inheritable_thread_target(df.sparkSession)(write_target)
-            with ThreadPoolExecutor(min(config.route_threads, len(targets))) as pool:
+            with ThreadPoolExecutor(max(1, min(config.route_threads, len(targets)))) as pool:
                 done = [r for part in pool.map(write, targets.values()) for r in part]
             order = {plan.route_id: place for place, plan in enumerate(plans)}
             reports = sorted(done, key=lambda report: order[report.route])

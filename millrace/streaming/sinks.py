@@ -62,7 +62,8 @@ class FileSink:
         spark = rows.sparkSession
         reader = spark.read.format(self.format).options(**self.options)
         try:
-            stored = reader.schema(_marked(rows, plan, batch_id).schema).load(self.path(plan))
+            schema = _marked(rows, plan, batch_id).schema
+            stored = reader.schema(schema).load(self.path(plan))
         except AnalysisException:
             return  # the table does not exist yet
         own = (F.col("batch_id") == str(batch_id)) & (F.col("route") == plan.route_id)
@@ -83,9 +84,8 @@ class FileSink:
 
 
 def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | str | None) -> DataFrame:
-    return rows.withColumns(
-        {"batch_id": F.lit(None if batch_id is None else str(batch_id)).cast("string"), "route": F.lit(plan.route_id)}
-    )
+    name = F.lit(None if batch_id is None else str(batch_id)).cast("string")
+    return rows.withColumns({"batch_id": name, "route": F.lit(plan.route_id)})
 
 
 @dataclass(frozen=True)

@@ -159,3 +159,16 @@ def test_all_routes_of_a_batch_share_one_ingest_time(spark, messages, tmp_path):
     times = {r[0] for p in routes for r in sink.read(spark, p).select("fecha_hora_kudu").collect()}
     assert len(times) == 1
     assert abs((times.pop().astimezone() - began).total_seconds()) < 60
+
+
+@pytest.mark.parametrize("ddl", ["p STRUCT<id: INT, ID: STRING, kind: STRING>", None], ids=["declared", "inferred"])
+def test_keys_that_differ_only_in_case(spark, ddl):
+    """One message with odd keys must not stop a stream; the exact name wins."""
+    rows = ['{"p":{"id":1,"kind":"a"}}', '{"p":{"ID":"x","Kind":"b","id":2,"kind":"a"},"P":1}']
+    df = spark.createDataFrame([(r,) for r in rows], "value string")
+    out = run_batch(df, [plan("a", "p.kind = 'a'", FIELDS[:1])], config(message_schema=ddl))["a"]
+    assert sorted(r["id"] for r in out.collect()) == [1, 2]
+
+
+def test_no_routes_at_all(messages, tmp_path):
+    assert write_batch(messages, [], config(), FileSink(str(tmp_path))) == []
