@@ -12,6 +12,11 @@ from pyspark.sql import types as T
 PREFIX_PATTERN = r"^[a-zA-Z0-9:\t]+\{"
 PREFIX_REPLACEMENT = "{"
 
+# For finding types only: empty text says nothing about a type, and a number with
+# a zero fraction is a number with a fraction.
+_EMPTY_TEXT = r"""([:,\[]\s*)(?:""|'')(?=\s*[,\]}])"""
+_ZERO_FRACTION = r"([0-9])\.0+(?=\s*[,\]}])"
+
 _OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT(?=<)")
 
 
@@ -43,13 +48,16 @@ def split_root_arrays(df: DataFrame, column: str = "value") -> DataFrame:
 def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     """Schema of the JSON objects in a text column, found in one aggregation.
 
-    Conflicting types become STRING, fields only ever null become STRING and
-    fields without any content (empty objects) are left out. Each task sends one
+    Types are those Spark's JSON reader finds: conflicting types become STRING,
+    fields only ever null or empty text become STRING, and fields without any
+    content (empty objects) are left out. Each task sends one
     merged schema to the driver, never rows.
     """
     objects = df.filter(F.ltrim(F.col(column)).startswith("{"))
+    text = F.regexp_replace(F.col(column), _EMPTY_TEXT, "$1null")
+    text = F.regexp_replace(text, _ZERO_FRACTION, "$1.5")
     merged = objects.agg(
-        F.schema_of_variant_agg(F.from_json(F.col(column), T.VariantType())).alias("merged")
+        F.schema_of_variant_agg(F.from_json(text, T.VariantType())).alias("merged")
     ).first()["merged"]
     if merged is None or not merged.startswith("OBJECT<"):
         return T.StructType()
