@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +17,9 @@ PREFIX_REPLACEMENT = "{"
 _EMPTY_TEXT = r"""([:,\[]\s*)(?:""|'')(?=\s*[,\]}])"""
 _ZERO_FRACTION = r"([0-9])\.0+(?=\s*[,\]}])"
 
+# What may stand before a JSON text: white space and a byte order mark.
+_BLANK = " \t\r\n\ufeff"
+
 _OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT(?=<)")
 
 
@@ -28,23 +31,28 @@ def strip_prefix(df: DataFrame, column: str = "value") -> DataFrame:
 
 
 def split_root_arrays(df: DataFrame, column: str = "value") -> DataFrame:
-    """One row per element for a message whose root is a JSON array.
+    """One row per element for a message whose root is a JSON array of objects.
 
     Other rows pass as they are, null and malformed ones included; blank text
     and an empty array are no message at all.
     """
     text = F.col(column)
-    elements = F.from_json(text, T.ArrayType(T.StringType()))
+    elements = F.from_json(_bare(text), T.ArrayType(T.StringType()))
+    objects = F.forall(elements, lambda element: F.ltrim(element).startswith("{"))
     return df.withColumn(
         column,
         F.explode(
-            F.when(F.trim(text) == "", F.array().cast("array<string>"))
-            .when(F.ltrim(text).startswith("["), F.coalesce(elements, F.array(text)))
+            F.when(_bare(text) == "", F.array().cast("array<string>"))
+            .when(_bare(text).startswith("[") & objects, elements)
             .otherwise(F.array(text))
         ),
     )
 
 
+def _bare(text: Column) -> Column:
+    return F.ltrim(text, F.lit(_BLANK))
+
+
 def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     """Schema of the JSON objects in a text column, found in one aggregation.
 
@@ -53,9 +61,13 @@ def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     content (empty objects) are left out. Each task sends one
     merged schema to the driver, never rows.
     """
-    objects = df.filter(F.ltrim(F.col(column)).startswith("{"))
-    text = F.regexp_replace(F.col(column), _EMPTY_TEXT, "$1null")
-    text = F.regexp_replace(text, _ZERO_FRACTION, "$1.5")
+    objects = df.filter(_bare(F.col(column)).startswith("{"))
+    text = _bare(F.col(column))
+    # A plain search first: few messages need the patterns, which cost more.
+    quotes = text.contains('""') | text.contains("''")
+    text = F.when(quotes, F.regexp_replace(text, _EMPTY_TEXT, "$1null")).otherwise(text)
+    zeros = text.contains(".0")
+    text = F.when(zeros, F.regexp_replace(text, _ZERO_FRACTION, "$1.5")).otherwise(text)
     merged = objects.agg(
         F.schema_of_variant_agg(F.from_json(text, T.VariantType())).alias("merged")
     ).first()["merged"]

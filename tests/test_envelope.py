@@ -1,3 +1,8 @@
+import json
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators.envelope import (
@@ -31,14 +36,52 @@ def test_strip_prefix(any_ansi):
     assert got == ['{"a":1}', '{"a":{"b":1}}', 'a b {"a":1}', "no brace", "{", None, "{c{", 'é{"a":1}']
 
 
-def test_inference_like_the_json_reader(any_ansi):
+def assert_like_the_json_reader(spark, rows):
     """Same fields, types and rows as Spark's own reader, but for its column of broken text."""
-    theirs = any_ansi.read.json(any_ansi.sparkContext.parallelize(EDGE, 1)).drop("_corrupt_record")
-    text = split_root_arrays(frame(any_ansi, EDGE))
+    theirs = spark.read.json(spark.sparkContext.parallelize(rows, 1)).drop("_corrupt_record")
+    text = split_root_arrays(frame(spark, rows))
     schema = infer_message_schema(text)
     assert {f.name: f.dataType for f in schema} == {f.name: f.dataType for f in theirs.schema}
-    ours = parse_messages(text, schema).select(*[f"`{c}`" for c in theirs.columns])
-    assert sorted(map(repr, ours.collect())) == sorted(map(repr, theirs.collect()))
+    if theirs.columns:
+        ours = parse_messages(text, schema).select(*[f"`{c}`" for c in theirs.columns])
+        assert sorted(map(repr, ours.collect())) == sorted(map(repr, theirs.collect()))
+
+
+def test_inference_like_the_json_reader(any_ansi):
+    assert_like_the_json_reader(any_ansi, EDGE)
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        ['{"a":3}', '{"a":3.0}', '{"b":[1.0, 2.0 ]}', '{"c":{"d":-0.0}}'],
+        ['{"a":true}', '{"a":""}', '{ "b" : [ "" , 1 ] }', "{'c':''}", '{"d":""}'],
+        ['{"a":"k:\\"\\","}', '{"b":": \'\' ,"}', '{"c":"1.0,"}'],
+        ['{"a":1E5}', '{"b":1.0e5}', '{"c":0.10}', '{"d":1e400}', '{"e":99999999999999999999999999999999999999.5}'],
+        ['{"a":9223372036854775807}', '{"a":9223372036854775808}', '{"b":9223372036854775808}', '{"b":1.0}'],
+        ["\n\t {\"a\":1}", "\ufeff{\"b\":1}", " \n ", "\n[{\"a\":2}]"],
+        ["[1,2]", '[{"a":1},2]', '[[{"a":1}]]', '[{"a":1},{"a":2}]', '{"a":3}', "[", "null", "1", "[null]"],
+        ['{"a":NaN}', '{"a":01}', '{"a":+1}', '{"a":.5}', '{"a":1.}', '{"a":1,}', "{a:1}", '{"a":1} x', '{"a":1}{"a":"x"}'],
+    ],
+)
+def test_awkward_texts_like_the_json_reader(spark, rows):
+    assert_like_the_json_reader(spark, rows)
+
+
+VALUES = st.recursive(
+    st.none()
+    | st.booleans()
+    | st.sampled_from([0, 1, -5, 2**31, 10**18, 10**19, 10**37, 10**40, 1.5, 3.0, 1e10, -0.0, 1e300])
+    | st.sampled_from(["", "x", "12", "1.0", 'é\n"', ":\"\","]),
+    lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.sampled_from(["a", "b", "a-b", "x.y"]), inner, max_size=3),
+    max_leaves=8,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.dictionaries(st.sampled_from(["a", "b", "c"]), VALUES, max_size=3), min_size=1, max_size=5))
+def test_any_objects_like_the_json_reader(spark, objects):
+    assert_like_the_json_reader(spark, [json.dumps(o) for o in objects])
 
 
 def test_inference_of_nothing(spark):
