@@ -3,8 +3,10 @@
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import TABLES, compare
+from workload.oracles import ORACLES
+from workload.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -16,14 +18,14 @@ def duck(sf_dir):
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, sf_dir, duck, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     got = df.select(*[f"`{c}`" for c in sorted(df.columns)]).toPandas()
-    want = duck.execute(oracle_sql()[name]).df()
+    want = duck.execute(ORACLES[name]).df()
     assert compare(got, want[sorted(want.columns)]) is None
 
 
