@@ -53,3 +53,20 @@ def connected_components(pairs: DataFrame) -> DataFrame:
     nodes = edges.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
     roots = edges.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct()
     return nodes.unionByName(roots)
+
+
+def smallest_reachable(classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(id, component_id) for every row of ``classes`` (id, first).
+
+    ``component_id`` is the smallest ``first`` of all classes that ``pairs``
+    (a, b) link to the class, itself included.
+    """
+    roots = connected_components(pairs)
+    placed = written(
+        classes.join(roots, classes["id"] == roots["node"], "left").select(
+            "id", F.coalesce("root", "id").alias("root"), "first"
+        ),
+        "placed",
+    )
+    smallest = written(placed.groupBy("root").agg(F.min("first").alias("component_id")), "smallest")
+    return placed.join(smallest, "root").select("id", "component_id")

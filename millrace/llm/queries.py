@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.bpe import bpe_encode
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.line_dedup import line_dedup
+from millrace.llm.lm_score import lm_scores
 from millrace.llm.mixing import mix_sources
+from millrace.llm.simhash import simhash_components
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,18 +22,33 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_chunks", "n_removed", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_encode(_table(spark, sf_dir, "documents")).drop("ids")
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scores(_table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
+    "op2_simhash": op2_simhash,
     "op6_mix_sources": op6_mix_sources,
+    "op8_bpe": op8_bpe,
+    "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
