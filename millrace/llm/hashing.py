@@ -25,8 +25,11 @@ def byte_class(ends_word: bytes) -> np.ndarray:
     return table
 
 
-def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of ``data``, an array of bytes.
+def word_hashes(
+    data: np.ndarray, is_word: np.ndarray, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, ...]:
+    """Hash and start of every word of ``data``, an array of bytes, then the hashes
+    of the words' first bytes, for each number in ``prefixes``.
 
     Words are runs of bytes for which ``is_word`` holds. The hash is a
     polynomial in 64 bits over random byte values, mixed; words that differ
@@ -36,7 +39,7 @@ def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.n
     step = np.diff(inside.astype(np.int8), prepend=0, append=0)
     starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     if not len(starts):
-        return np.zeros(0, np.uint64), starts
+        return np.zeros(0, np.uint64), starts, *[np.zeros(0, np.uint64) for _ in prefixes]
     lengths = ends - starts
     at = np.flatnonzero(inside)
     first = np.cumsum(lengths) - lengths
@@ -45,4 +48,6 @@ def word_hashes(data: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.n
     long = place >= _PLACES
     if long.any():
         value[long] = mixed(value[long] + (place[long] // _PLACES).astype(np.uint64))
-    return mixed(np.add.reduceat(value, first) + lengths.astype(np.uint64)), starts
+    hashes = mixed(np.add.reduceat(value, first) + lengths.astype(np.uint64))
+    begun = [mixed(np.add.reduceat(np.where(place < p, value, 0), first) - np.uint64(p)) for p in prefixes]
+    return hashes, starts, *begun

@@ -6,11 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import bpe_encode
+from millrace.llm.embedding_dedup import embedding_components
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.line_dedup import line_dedup
 from millrace.llm.lm_score import lm_scores
 from millrace.llm.mixing import mix_sources
+from millrace.llm.quality import quality_scores
 from millrace.llm.simhash import simhash_components
+from millrace.llm.toxicity import toxicity_scores
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,11 +29,24 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(_table(spark, sf_dir, "embeddings"))
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mix_sources(_table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return out.withColumn("n_sentences", F.size("sentences").cast("long")).drop("sentences")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(_table(spark, sf_dir, "documents")).drop("ids")
 
@@ -46,7 +62,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_embedding_dedup": op3_embedding_dedup,
+    "op5_quality": op5_quality,
     "op6_mix_sources": op6_mix_sources,
+    "op7_toxicity": op7_toxicity,
     "op8_bpe": op8_bpe,
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
