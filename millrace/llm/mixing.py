@@ -154,3 +154,34 @@ def mix_sources(
         "target",
         F.when(F.expr("size > 0 and target > 0"), F.col("size") * copies).otherwise(0).cast("long").alias("taken"),
     )
+
+
+def mixed_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source"
+) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, all columns as they are.
+
+    Decisions join to rows by id, source and size; rows that are alike in these
+    get one decision each.
+    """
+    numbered = docs.toDF(*[f"col{i}" for i in range(len(docs.columns))])
+    names = dict(zip(docs.columns, numbered.columns))
+    key = F.struct(
+        F.col(names[id_col]).alias("doc_id"),
+        F.col(names[source_col]).alias("source"),
+        word_count(F.col(names[text_col])).alias("size"),
+    )
+    numbered = numbered.withColumn("key", key).withColumn(
+        "n", F.row_number().over(W.partitionBy("key").orderBy(F.lit(0)))
+    )
+    mix = mix_sources(docs, id_col, text_col, source_col).where("taken > 0")
+    copies = mix.groupBy(F.struct("doc_id", "source", "size").alias("key")).agg(
+        F.sort_array(F.collect_list((F.col("taken") / F.col("size")).cast("int")), asc=False).alias("copies")
+    )
+    return (
+        numbered.join(copies, "key")
+        .withColumn("times", F.get("copies", F.col("n") - 1))
+        .where("times > 0")
+        .withColumn("time", F.explode_outer(F.sequence(F.lit(1), F.col("times"))))
+        .select(*[F.col(names[c]).alias(c) for c in docs.columns])
+    )

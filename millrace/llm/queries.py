@@ -12,6 +12,7 @@ from millrace.llm.line_dedup import line_dedup
 from millrace.llm.lm_score import lm_scores
 from millrace.llm.mixing import mix_sources
 from millrace.llm.quality import quality_scores
+from millrace.llm.secrets import MODEL_KIND, secret_scan, span_text
 from millrace.llm.simhash import simhash_components
 from millrace.llm.toxicity import toxicity_scores
 
@@ -33,6 +34,20 @@ def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_components(_table(spark, sf_dir, "embeddings"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scan = secret_scan(_table(spark, sf_dir, "documents"))
+    of = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("found", lambda s: s["kind"] != MODEL_KIND)
+    return scan.select(
+        "doc_id",
+        of("assign").alias("n_assign"),
+        of("access").alias("n_access"),
+        of("hex").alias("n_hex"),
+        F.sha2(span_text(base), 256).alias("base_sha256"),
+        span_text(F.col("found")).alias("spans"),
+    )
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -63,6 +78,7 @@ LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
     "op3_embedding_dedup": op3_embedding_dedup,
+    "op4_secret_scan": op4_secret_scan,
     "op5_quality": op5_quality,
     "op6_mix_sources": op6_mix_sources,
     "op7_toxicity": op7_toxicity,

@@ -223,3 +223,13 @@ def simhash_components(
     return prints.join(placed, "id").select(
         "doc_id", F.lower(F.lpad(F.hex("id"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose id is that of their component, all columns as they are.
+
+    Rows that repeat an id are one document and stay or go together.
+    """
+    placed = simhash_components(docs, id_col, text_col)
+    stays = placed.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return docs.join(stays, docs[id_col].eqNullSafe(stays["doc_id"]), "left_semi")

@@ -17,8 +17,8 @@ from millrace.llm.labelled import training_sample
 BUCKETS, PREFIXES = 1 << 18, (5, 6, 7)
 #: Labelled documents of each class that training reads at most.
 PER_CLASS = 4000
-#: Passes over them, documents of a step, rate, and pull of weights towards zero.
-EPOCHS, STEP, RATE, DECAY = 30, 64, 0.7, 1e-5
+#: Steps of training, documents of a step, rate, and pull of weights towards zero.
+STEPS, STEP, RATE, DECAY = 2000, 64, 0.7, 1e-5
 #: A word counts if this many training documents have it.
 LEAST_DOCUMENTS = 5
 #: Bytes of text read at a time.
@@ -81,31 +81,60 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int =
     use = documents >= min(LEAST_DOCUMENTS, len(y))
     texts = [(b[use[b]], s[use[b]], len(np.unique(s))) for b, s in texts]
     bias, grown, bias_grown = -4.0, np.full(BUCKETS, 1e-8), 1e-8
-    for _ in range(EPOCHS):
-        order = random.permutation(len(y))
-        for at in range(0, len(order), STEP):
-            chosen = order[at : at + STEP]
-            sizes = np.array([texts[i][2] for i in chosen])
-            first = np.cumsum(sizes) - sizes
-            words = np.concatenate([texts[i][0] for i in chosen])
-            place = np.concatenate([texts[i][1] + f for i, f in zip(chosen, first)])
-            document = np.repeat(np.arange(len(chosen)), sizes)
-            logits = bias + np.bincount(place, weights[words], sizes.sum())
-            none = np.bincount(document, log_none(logits), len(chosen))
-            # d loss / d log none: 1 for a clean document, -none / (1 - none) for a toxic one
-            odds = np.exp(none) / np.maximum(-np.expm1(none), 1e-6)
-            slope = np.where(y[chosen] == 1, -np.minimum(odds, 50), 1.0)
-            back = slope[document] / (1 + np.exp(-logits)) / len(chosen)
-            gradient = np.bincount(words, back[place], BUCKETS)
-            gradient[use] += DECAY * weights[use]
-            grown += gradient**2
-            weights = np.maximum(weights - RATE * gradient / np.sqrt(grown), 0)
-            bias_grown += back.sum() ** 2
-            bias -= 0.1 * RATE * back.sum() / np.sqrt(bias_grown)
+    passes = -(-STEPS * STEP // len(y))
+    order = np.concatenate([random.permutation(len(y)) for _ in range(passes)])[: STEPS * STEP]
+    for at in range(0, len(order), STEP):
+        chosen = order[at : at + STEP]
+        sizes = np.array([texts[i][2] for i in chosen])
+        first = np.cumsum(sizes) - sizes
+        words = np.concatenate([texts[i][0] for i in chosen])
+        place = np.concatenate([texts[i][1] + f for i, f in zip(chosen, first)])
+        document = np.repeat(np.arange(len(chosen)), sizes)
+        logits = bias + np.bincount(place, weights[words], sizes.sum())
+        none = np.bincount(document, log_none(logits), len(chosen))
+        # d loss / d log none: 1 for a clean document, -none / (1 - none) for a toxic one
+        odds = np.exp(none) / np.maximum(-np.expm1(none), 1e-6)
+        slope = np.where(y[chosen] == 1, -np.minimum(odds, 50), 1.0)
+        back = slope[document] / (1 + np.exp(-logits)) / len(chosen)
+        gradient = np.bincount(words, back[place], BUCKETS)
+        gradient[use] += DECAY * weights[use]
+        grown += gradient**2
+        weights = np.maximum(weights - RATE * gradient / np.sqrt(grown), 0)
+        bias_grown += back.sum() ** 2
+        bias -= 0.1 * RATE * back.sum() / np.sqrt(bias_grown)
     return weights, bias
 
 
-def toxicity_scores(
+class Scorer:
+    """Scores of texts by learned weights; sent to the tasks."""
+
+    def __init__(self, weights: np.ndarray, bias: float, threshold: float):
+        self.weights, self.bias, self.threshold = weights, bias, threshold
+
+    def __call__(self, text: str | None) -> tuple[float, list[dict]]:
+        """Noisy-or of a text's sentences, and the sentences at or above the threshold."""
+        data = (text or "").encode()
+        none, found, before, least = 0.0, [], 0, np.log(self.threshold / (1 - self.threshold))
+        for buckets, number, ends in sentences(data):
+            pairs = np.unique(number << 18 | buckets)
+            there, logits = sentence_logits(pairs & (BUCKETS - 1), pairs >> 18, self.weights, self.bias)
+            none += float(log_none(logits).sum())
+            for i in np.flatnonzero(logits >= least):
+                n = there[i]
+                start = int(ends[n - 1]) + 1 if n else before
+                end = int(ends[n]) + 1 if n < len(ends) else len(data)
+                found.append((start, end, float(1 / (1 + np.exp(-logits[i])))))
+            before = int(ends[-1]) + 1 if len(ends) else before
+        places, at, chars = [], 0, 0
+        for start, end, p in found:
+            chars += len(data[at:start].decode(errors="ignore"))
+            size = len(data[start:end].decode(errors="ignore"))
+            places.append({"start": chars, "end": chars + size, "score": p})
+            at, chars = end, chars + size
+        return float(-np.expm1(none)), places
+
+
+def trained_scorer(
     docs: DataFrame,
     labels: DataFrame,
     id_col: str = "doc_id",
@@ -113,21 +142,8 @@ def toxicity_scores(
     label: str = "toxic",
     per_class: int = PER_CLASS,
     threshold: float = 0.5,
-) -> DataFrame:
-    """``doc_id, held_out, score, predicted, sentences`` for every row of ``docs``.
-
-    Every sentence of the whole text gets the probability that its words make it
-    toxic, learned from labels of documents alone, and ``score`` is their
-    noisy-or. ``sentences`` lists start, end (code points, end exclusive) and
-    score of the sentences at or above ``threshold``. Training reads at most
-    ``per_class`` documents of each label, none whose crc32 of the id modulo 5 is
-    0 (those are held out); tasks send their words' buckets to the driver, which
-    the sample bounds. Only texts enter a score.
-
-    Null texts, empty ones and such without words have no sentence, and the
-    score 0. Rows with a null id are scored and not held out; repeated rows get
-    equal scores; an empty table gives no rows.
-    """
+) -> Scorer:
+    """A scorer learned from at most ``per_class`` labelled documents of each label."""
     sample = training_sample(docs, labels, label, 5, 0, per_class, id_col, text_col)
     id_type = docs.schema[id_col].dataType.simpleString()
 
@@ -150,40 +166,47 @@ def toxicity_scores(
     rows.sort(key=lambda r: (str(r["id"]), bytes(r["words"])))
     packed = [np.frombuffer(r["words"], np.int64) for r in rows]
     weights, bias = train([(p & (BUCKETS - 1), p >> 18) for p in packed], np.array([r["y"] for r in rows], np.int64))
+    return Scorer(weights, bias, threshold)
+
+
+def toxicity_scores(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label: str = "toxic",
+    per_class: int = PER_CLASS,
+    threshold: float = 0.5,
+) -> DataFrame:
+    """``doc_id, held_out, score, predicted, sentences`` for every row of ``docs``.
+
+    Every sentence of the whole text gets the probability that its words make it
+    toxic, learned from labels of documents alone, and ``score`` is their
+    noisy-or. ``sentences`` lists start, end (code points, end exclusive) and
+    score of the sentences at or above ``threshold``. Training reads at most
+    ``per_class`` documents of each label, none whose crc32 of the id modulo 5 is
+    0 (those are held out); tasks send their words' buckets to the driver, which
+    the sample bounds. Only texts enter a score.
+
+    Null texts, empty ones and such without words have no sentence, and the
+    score 0. Rows with a null id are scored and not held out; repeated rows get
+    equal scores; an empty table gives no rows.
+    """
+    scorer = trained_scorer(docs, labels, id_col, text_col, label, per_class, threshold)
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
         for batch in batches:
-            scores, spans = [], []
-            for text in batch.column(2):
-                data = (text.as_py() or "").encode()
-                none, found, before = 0.0, [], 0
-                for buckets, number, ends in sentences(data):
-                    pairs = np.unique(number << 18 | buckets)
-                    there, logits = sentence_logits(pairs & (BUCKETS - 1), pairs >> 18, weights, bias)
-                    none += float(log_none(logits).sum())
-                    for i in np.flatnonzero(logits >= np.log(threshold / (1 - threshold))):
-                        n = there[i]
-                        start = int(ends[n - 1]) + 1 if n else before
-                        end = int(ends[n]) + 1 if n < len(ends) else len(data)
-                        found.append((start, end, float(1 / (1 + np.exp(-logits[i])))))
-                    before = int(ends[-1]) + 1 if len(ends) else before
-                scores.append(-np.expm1(none))
-                places, at, chars = [], 0, 0
-                for start, end, p in found:
-                    chars += len(data[at:start].decode(errors="ignore"))
-                    size = len(data[start:end].decode(errors="ignore"))
-                    places.append({"start": chars, "end": chars + size, "score": p})
-                    at, chars = end, chars + size
-                spans.append(places)
-            scores = np.array(scores, np.float64)
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("score", pa.float64())]))
+            results = [scorer(text.as_py()) for text in batch.column(2)]
+            scores = np.array([r[0] for r in results], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pa.array(scores),
                     pa.array((scores >= 0.5).astype(np.int32)),
-                    pa.array(spans, kind),
+                    pa.array([r[1] for r in results], kind),
                 ],
                 names=["doc_id", "held_out", "score", "predicted", "sentences"],
             )
@@ -195,3 +218,20 @@ def toxicity_scores(
         f"doc_id {id_type}, held_out boolean, score double, predicted int, "
         "sentences array<struct<start: long, end: long, score: double>>",
     )
+
+
+def drop_toxic(
+    docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", per_class: int = PER_CLASS
+) -> DataFrame:
+    """The rows of ``docs`` whose texts are not predicted toxic, all columns as they are.
+
+    Rows are judged one by one where they are; nothing is moved but the sample.
+    """
+    scorer = trained_scorer(docs, labels, id_col, text_col, per_class=per_class)
+    text_at = docs.columns.index(text_col)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array([scorer(text.as_py())[0] < 0.5 for text in batch.column(text_at)], pa.bool_()))
+
+    return docs.mapInArrow(clean, docs.schema)
