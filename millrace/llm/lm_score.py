@@ -17,7 +17,7 @@ from millrace.llm.hashing import byte_class, mixed, word_hashes
 #: Words of the longest n-gram, and the weight of the shorter context (in tokens).
 ORDER, PRIOR = 2, 4.0
 #: Bytes of text in a block; blocks are counted and scored one at a time.
-BLOCK = 3 << 20
+BLOCK = 4 << 20
 #: Blocks whose n-grams meet in one group of a counting task.
 BLOCKS_PER_PART = 4
 #: Stands for the end of a text, and as a context for its beginning.
@@ -65,63 +65,54 @@ class BackoffAutomaton:
 
     The probability of a word after a context of c occurrences is
     (count of both + prior * probability after the shorter context) / (c + prior),
-    which adds up to one over the vocabulary and a word outside it. A state has
-    an arc for each word seen after it; for any other, its failure arc leads to
-    the state of the shorter context at the cost of prior / (c + prior). The
-    empty state 0 has an arc for every word of the block.
+    which adds up to one over the vocabulary and a word outside it. The state of
+    a context has an arc for each word seen after it; for any other word, its
+    failure arc leads to the state of the context without its first word, at the
+    cost of prior / (c + prior). The empty state has an arc for every word. An
+    arc leads to the state of the longest seen context that then ends the text.
+
+    A state is a seen n-gram of less than full order, and an arc a seen n-gram;
+    ``arc[n]`` and ``failure[n]`` hold their weights by n-gram number.
     """
 
-    def __init__(self, block: Block, counts: list[np.ndarray], total: int, distinct: int, prior: float):
-        self.words = words = max(len(block.keys[0]), 1)
-        order = len(counts)
-        # a state for each seen n-gram of less than full order
-        state = [np.where(c > 0, 1, 0) for c in counts[: order - 1]]
-        size = 1
-        for n, seen in enumerate(state):
-            state[n] = np.where(seen, np.cumsum(seen) - 1 + size, 0)
-            size += int(seen.sum())
-        self.fail, self.cost = np.zeros(size, np.int64), np.zeros(size)
-        unigram = (counts[0] + 1) / (total + distinct + 1)
-        chance, arcs = unigram, {}
-        first = [np.zeros(len(k), np.int64) for k in block.keys]
-        for n, ids in enumerate(block.ids):
-            at = np.flatnonzero(ids >= 0)[::-1]
-            first[n][ids[at]] = at  # a place where the n-gram ends
-        reach = state[0] if order > 1 else np.zeros(words, np.int64)
-        arcs.update(zip(range(words), zip(np.log10(unigram).tolist(), reach.tolist())))
-        if order > 1:
-            context = state[0] > 0
-            self.cost[state[0][context]] = np.log10(prior / (counts[0][context] + prior))
-        for n in range(1, order):
-            at = first[n]
-            seen = counts[n] > 0
-            before, suffix = block.ids[n - 1][at - 1], block.ids[n - 1][at]
-            chance = (counts[n] + prior * chance[suffix]) / (counts[n - 1][before] + prior)
-            source = state[n - 1][before]
-            reach = state[n] if n < order - 1 else state[n - 1][suffix]
-            keys = source * words + block.ids[0][at]
-            use = seen & (source > 0)
-            arcs.update(
-                zip(keys[use].tolist(), zip(np.log10(chance[use]).tolist(), reach[use].tolist()))
-            )
-            if n < order - 1:
-                context = state[n] > 0
-                self.fail[state[n][context]] = state[n - 1][suffix[context]]
-                self.cost[state[n][context]] = np.log10(prior / (counts[n][context] + prior))
-        self.arcs, self.start_state = arcs, state[0] if order > 1 else np.zeros(words, np.int64)
-        self.fail, self.cost = self.fail.tolist(), self.cost.tolist()
-
-    def score(self, words: list[int]) -> float:
-        """Log10 probability of the tokens after the first, which is the start."""
-        arcs, fail, cost, width = self.arcs, self.fail, self.cost, self.words
-        state, total = int(self.start_state[words[0]]), 0.0
-        for word in words[1:]:
-            while (arc := arcs.get(state * width + word)) is None:
-                total += cost[state]
-                state = fail[state]
-            total += arc[0]
-            state = arc[1]
-        return total
+    def __init__(self, counts: list[np.ndarray], block: Block, total: int, distinct: int, prior: float):
+        self.seen = [c > 0 for c in counts]
+        chance = (counts[0] + 1) / (total + distinct + 1)
+        self.arc, self.failure = [np.log10(chance)], []
+        for n, ids in enumerate(block.ids[1:], 1):
+            ends = np.zeros(len(block.keys[n]), np.int64)  # a place where each n-gram ends
+            at = np.flatnonzero(ids >= 0)
+            ends[ids[at]] = at
+            context, shorter = block.ids[n - 1][ends - 1], block.ids[n - 1][ends]
+            chance = (counts[n] + prior * chance[shorter]) / (counts[n - 1][context] + prior)
+            self.arc.append(np.log10(chance))
+            self.failure.append(np.log10(prior / (counts[n - 1] + prior)))
+
+    def weights(self, block: Block) -> np.ndarray:
+        """Log10 probability of every token of the block, in one traversal of its texts.
+
+        The state that each token is read in is the longest seen context before
+        it; reading goes on through failure arcs, for all tokens of the block
+        together, until each has found its arc.
+        """
+        size = len(block.tokens)
+        length = np.zeros(size, np.int64)  # words of the context of each token's state
+        for n in range(1, len(self.arc)):
+            ids = block.ids[n - 1][:-1]
+            length[1:][(ids >= 0) & self.seen[n - 1][ids]] = n
+        weights, waiting = np.zeros(size), np.flatnonzero(block.counted)
+        for n in range(len(self.arc) - 1, -1, -1):
+            here = length[waiting] == n
+            at, others = waiting[here], waiting[~here]
+            ids = block.ids[n][at]
+            found = self.seen[n][ids] if n else np.ones(len(at), bool)
+            weights[at[found]] += self.arc[n][ids[found]]
+            at = at[~found]
+            if len(at):
+                weights[at] += self.failure[n - 1][block.ids[n - 1][at - 1]]
+                length[at] = n - 1
+            waiting = np.concatenate([others, at])
+        return weights
 
 
 def _blocks(docs: DataFrame, block_bytes: int, id_type: str) -> DataFrame:
@@ -186,7 +177,7 @@ def lm_scores(
     by hash and gathered, so every n-gram of the corpus is counted over all
     blocks, and each block gets the totals of its own n-grams back, in order.
     From these it builds the part of the automaton that its texts can reach and
-    runs each text through it. All that is gathered grows with the corpus and
+    reads its texts through it, all at once. All that is gathered grows with the corpus and
     is spread by hash; a frequent n-gram comes once per block, not once per use.
 
     Returns ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
@@ -276,21 +267,18 @@ def lm_scores(
                 ids = row.column("ids").flatten()
                 row = row.select(["train", "sizes", "texts"]).to_pylist()[0]
                 block = Block(_texts(row), order)
-                automaton = BackoffAutomaton(block, counts, total, distinct, prior)
+                weights = BackoffAutomaton(counts, block, total, distinct, prior).weights(block)
                 known = (counts[0] > 0)[block.ids[0]] & block.counted
                 base = np.log10((counts[0] + 1) / (total + distinct + 1))[block.ids[0]] * block.counted
-                spans = list(zip(block.starts.tolist(), (block.starts + block.lengths).tolist()))
-                scores = [automaton.score(block.ids[0][a:b].tolist()) for a, b in spans]
-                size = len(spans)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids,
                         pa.array(~np.array(row["train"], bool)),
                         pa.array(block.lengths - 1),
                         pa.array(np.add.reduceat(known, block.starts, dtype=np.int64)),
-                        pa.array(np.full(size, total, np.int64)),
+                        pa.array(np.full(len(ids), total, np.int64)),
                         pa.array(np.add.reduceat(base, block.starts)),
-                        pa.array(scores, pa.float64()),
+                        pa.array(np.add.reduceat(weights, block.starts)),
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
                 )
