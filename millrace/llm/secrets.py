@@ -8,6 +8,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.common import written
+
 #: Patterns of the base kinds, the group whose length counts, and its least length.
 KINDS = {
     "assign": (
@@ -125,7 +127,11 @@ def train(strings: DataFrame) -> list[float]:
 def labelled_strings(docs: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE) -> DataFrame:
     """(string, label) from at most ``sample`` documents: what the base kinds find is
     random, other words of letters, digits and signs are ordinary."""
-    chosen = docs.orderBy(F.xxhash64(id_col), F.col(id_col)).limit(sample)
+    ids = docs.select(F.col(id_col).alias("chosen")).where("chosen is not null").distinct()
+    ids = ids.orderBy(F.xxhash64("chosen"), "chosen").limit(sample)
+    # at most so many ids
+    chosen = docs.join(F.broadcast(ids), docs[id_col] == ids["chosen"]).select(id_col, text_col)
+    chosen = written(chosen, "sample")
     found = _scanned(chosen, id_col, text_col)
     random = found.where(F.col("kind").isin(*KINDS)).select(F.col("secret").alias("string"), F.lit(1).alias("label"))
     words = chosen.select(F.explode_outer(F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"[^A-Za-z0-9+/_=-]+")).alias("string"))
