@@ -16,7 +16,7 @@ from millrace.llm.labelled import training_sample
 #: Hash buckets of words and of their beginnings, and the beginnings' lengths in bytes.
 BUCKETS, PREFIXES = 1 << 18, (5, 6, 7)
 #: Labelled documents of each class that training reads at most.
-PER_CLASS = 4000
+PER_CLASS = 2000
 #: Steps of training, documents of a step, rate, and pull of weights towards zero.
 STEPS, STEP, RATE, DECAY = 2000, 64, 0.7, 1e-5
 #: A word counts if this many training documents have it.
@@ -165,7 +165,8 @@ def trained_scorer(
     rows = sample.mapInArrow(read, f"id {id_type}, y int, words binary").where("length(words) > 0").collect()
     rows.sort(key=lambda r: (str(r["id"]), bytes(r["words"])))
     packed = [np.frombuffer(r["words"], np.int64) for r in rows]
-    weights, bias = train([(p & (BUCKETS - 1), p >> 18) for p in packed], np.array([r["y"] for r in rows], np.int64))
+    texts = [((p & (BUCKETS - 1)).astype(np.int32), (p >> 18).astype(np.int32)) for p in packed]
+    weights, bias = train(texts, np.array([r["y"] for r in rows], np.int64))
     return Scorer(weights, bias, threshold)
 
 
