@@ -64,8 +64,10 @@ def log_none(logits: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0, logits)
 
 
-def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int = 0) -> tuple[np.ndarray, float]:
-    """Weights of words and a bias, from labels of whole documents.
+def train(
+    texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weigh: np.ndarray, seed: int = 0
+) -> tuple[np.ndarray, float]:
+    """Weights of words and a bias, from labels of whole documents and their weights.
 
     A document is toxic if any sentence is: its probability is the noisy-or
     1 - prod(1 - p) of its sentences'. Gradient descent on the log loss of
@@ -80,6 +82,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int =
     documents = np.bincount(np.concatenate([np.unique(b) for b, _ in texts]), minlength=BUCKETS)
     use = documents >= min(LEAST_DOCUMENTS, len(y))
     texts = [(b[use[b]], s[use[b]], len(np.unique(s))) for b, s in texts]
+    weigh = weigh / weigh.mean()
     bias, grown, bias_grown = -4.0, np.full(BUCKETS, 1e-8), 1e-8
     passes = -(-STEPS * STEP // len(y))
     order = np.concatenate([random.permutation(len(y)) for _ in range(passes)])[: STEPS * STEP]
@@ -95,7 +98,7 @@ def train(texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, seed: int =
         # d loss / d log none: 1 for a clean document, -none / (1 - none) for a toxic one
         odds = np.exp(none) / np.maximum(-np.expm1(none), 1e-6)
         slope = np.where(y[chosen] == 1, -np.minimum(odds, 50), 1.0)
-        back = slope[document] / (1 + np.exp(-logits)) / len(chosen)
+        back = (slope * weigh[chosen])[document] / (1 + np.exp(-logits)) / len(chosen)
         gradient = np.bincount(words, back[place], BUCKETS)
         gradient[use] += DECAY * weights[use]
         grown += gradient**2
@@ -158,15 +161,17 @@ def trained_scorer(
                     count += len(there)
                 packed = np.concatenate(parts).astype(np.int64).tobytes() if parts else b""
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1), batch.column(2).slice(i, 1), pa.array([packed])],
-                    names=["id", "y", "words"],
+                    [*(batch.column(c).slice(i, 1) for c in (0, 2, 3)), pa.array([packed])],
+                    names=["id", "y", "weight", "words"],
                 )
 
-    rows = sample.mapInArrow(read, f"id {id_type}, y int, words binary").where("length(words) > 0").collect()
+    rows = sample.mapInArrow(read, f"id {id_type}, y int, weight double, words binary").where("length(words) > 0").collect()
     rows.sort(key=lambda r: (str(r["id"]), bytes(r["words"])))
     packed = [np.frombuffer(r["words"], np.int64) for r in rows]
     texts = [((p & (BUCKETS - 1)).astype(np.int32), (p >> 18).astype(np.int32)) for p in packed]
-    weights, bias = train(texts, np.array([r["y"] for r in rows], np.int64))
+    weights, bias = train(
+        texts, np.array([r["y"] for r in rows], np.int64), np.array([r["weight"] for r in rows], np.float64)
+    )
     return Scorer(weights, bias, threshold)
 
 
