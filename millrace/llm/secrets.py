@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +29,8 @@ MODEL_KIND, CANDIDATE = "markov", r"[A-Za-z0-9+/_=-]{16,}"
 FIRST, SYMBOLS = ord("+"), ord("z") - ord("+") + 1
 #: Documents that training reads at most, those with the smallest hashes of their ids.
 SAMPLE = 4000
-#: Added to every count of a transition.
-SMOOTHING = 0.5
+#: Added to every count of a symbol, and weight of symbol frequencies in those of transitions.
+SMOOTHING, PRIOR = 0.5, 5.0
 #: Least log-likelihood ratio, in nats: of a whole string, and on average of a transition.
 LEAST_TOTAL, LEAST_MEAN = 20.0, 1.0
 #: Characters of a text that are scanned at a time; cut at line ends, which no pattern spans.
@@ -105,19 +106,20 @@ def train(strings: DataFrame) -> list[float]:
     """Log-likelihood ratios of all transitions, from (string, label) with label 1 for
     random strings and 0 for ordinary identifiers.
 
-    Each label's Markov model has smoothed probabilities of a symbol after
-    another; the ratio of symbols a, b is entry ``a * SYMBOLS + b``. The table has
+    Each label's Markov model has probabilities of a symbol after another, smoothed
+    by those of the symbol alone; the ratio of symbols a, b is entry ``a * SYMBOLS + b``. The table has
     at most two counts for each pair of symbols, so the driver reads it whole.
     """
     counts = {(r["label"], r["a"], r["b"]): r["n"] for r in _transitions(strings).collect()}
-    totals: dict[tuple[int, int], int] = {}
-    for (label, a, _), n in counts.items():
-        totals[label, a] = totals.get((label, a), 0) + n
+    before, after, every = Counter(), Counter(), Counter()
+    for (label, a, b), n in counts.items():
+        before[label, a] += n
+        after[label, b] += n
+        every[label] += n
 
     def log_chance(label: int, a: int, b: int) -> float:
-        return math.log(
-            (counts.get((label, a, b), 0) + SMOOTHING) / (totals.get((label, a), 0) + SMOOTHING * SYMBOLS)
-        )
+        alone = (after[label, b] + SMOOTHING) / (every[label] + SMOOTHING * SYMBOLS)
+        return math.log((counts.get((label, a, b), 0) + PRIOR * alone) / (before[label, a] + PRIOR))
 
     return [
         round(log_chance(1, a, b) - log_chance(0, a, b), 6) for a in range(SYMBOLS) for b in range(SYMBOLS)
@@ -156,8 +158,8 @@ def secret_scan(
     overlapping within a kind. Beside them, strings of 16 or more letters, digits
     and signs are judged by two character Markov models, one of random strings
     and one of ordinary identifiers: a string is a secret if its log-likelihood
-    ratio reaches ``least_total``, and ``least_mean`` for each transition, and it
-    overlaps no base span. The models are trained from ``labelled`` (string,
+    ratio reaches ``least_total``, and ``least_mean`` for each transition, it has a
+    letter and a digit, and it overlaps no base span. The models are trained from ``labelled`` (string,
     label), or else from what the base kinds find in a bounded sample of ``docs``.
 
     Texts are scanned in pieces cut at line ends, and only spans move between
@@ -183,7 +185,8 @@ def secret_scan(
     span = F.struct(
         (F.col("at") + F.col("start")).alias("start"), rank.alias("rank"), (F.col("at") + F.col("end")).alias("end"), "kind"
     )
-    keep = (F.col("kind") != MODEL_KIND) | random
+    mixed = F.col("secret").rlike("[0-9]") & F.col("secret").rlike("[A-Za-z]")
+    keep = (F.col("kind") != MODEL_KIND) | (random & mixed)
     spans = found.select("row", "id", F.when(keep, span).alias("span"))
     grouped = spans.groupBy("row", "id").agg(F.sort_array(F.collect_list("span")).alias("found"))
     base = F.filter("found", lambda s: s["kind"] != MODEL_KIND)
