@@ -13,6 +13,9 @@ PAYLOAD_COLUMN = "jsonPayload"
 MESSAGE_VIEW = "DataIN"
 ACTIVE_STATUS = "Activo"
 
+#: Name of the column for text past the last chunk of a split.
+REST = "{column}_rest"
+
 _CHOICES = {
     "missing": ("null", "omit"),
     "split_layout": ("contiguous", "strided"),
@@ -49,11 +52,10 @@ class PipelineConfig:
     split_capacity: int | None = None
     split_names: tuple[str, ...] = ()
     split_layout: str = "contiguous"
-    split_rest: str | None = None
+    split_rest: str | None = REST
 
     on_error: str = "fail"
     reuse: str = "persist"
-    rows_per_file: int = 250_000
     route_threads: int = 4
 
     def __post_init__(self) -> None:
@@ -62,5 +64,7 @@ class PipelineConfig:
                 raise ValueError(f"{key} must be one of {allowed}, not {getattr(self, key)!r}")
         if self.split_column is not None and (not self.split_names or not self.split_capacity):
             raise ValueError("split_column needs split_capacity and split_names")
-        if self.rows_per_file < 1 or self.route_threads < 1:
-            raise ValueError("rows_per_file and route_threads must be positive")
+        if self.split_capacity is not None and self.split_capacity < 2:
+            raise ValueError("split_capacity must be 2 or more")
+        if self.route_threads < 1:
+            raise ValueError("route_threads must be positive")

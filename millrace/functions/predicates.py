@@ -52,7 +52,11 @@ _KEYWORDS = frozenset(
 def pair_form(text: str) -> list[tuple[str, str]] | None:
     """Pairs of a ``path&value`` predicate, or ``None`` if it is not one."""
     parts = text.split("&")
-    if _SELECT.match(text) or len(parts) < 2 or len(parts) % 2:
+    if _SELECT.match(text) or len(parts) < 2:
+        return None
+    if len(parts) % 2:
+        if _PAIR_PATH.match(parts[0]) and _PAIR_PATH.match(parts[2]) and "." in parts[0]:
+            raise ValueError(f"path&value pairs with an odd number of parts: {text!r}")
         return None
     pairs = list(zip(parts[0::2], parts[1::2]))
     return pairs if all(_PAIR_PATH.match(path) for path, _ in pairs) else None

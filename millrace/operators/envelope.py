@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import logging
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,6 +20,8 @@ PREFIX_REPLACEMENT = "{"
 _EMPTY_TEXT = r"""([:,\[]\s*)(?:""|'')(?=\s*[,\]}])"""
 _ZERO_FRACTION = r"([0-9])\.0+(?=\s*[,\]}])"
 
+log = logging.getLogger("millrace")
+
 # What may stand before a JSON text: white space and a byte order mark.
 _BLANK = " \t\r\n\ufeff"
 
@@ -58,8 +63,9 @@ def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
 
     Types are those Spark's JSON reader finds: conflicting types become STRING,
     fields only ever null or empty text become STRING, and fields without any
-    content (empty objects) are left out. Each task sends one
-    merged schema to the driver, never rows.
+    content (empty objects) are left out. A key that a message repeats counts
+    like any other. Objects that cannot be read give no fields; their number is
+    logged. Each task sends one merged schema to the driver, never rows.
     """
     objects = df.filter(_bare(F.col(column)).startswith("{"))
     text = _bare(F.col(column))
@@ -68,15 +74,32 @@ def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     text = F.when(quotes, F.regexp_replace(text, _EMPTY_TEXT, "$1null")).otherwise(text)
     zeros = text.contains(".0")
     text = F.when(zeros, F.regexp_replace(text, _ZERO_FRACTION, "$1.5")).otherwise(text)
-    merged = objects.agg(
-        F.schema_of_variant_agg(F.from_json(text, T.VariantType())).alias("merged")
-    ).first()["merged"]
+    variant = F.from_json(text, T.VariantType())
+    with _repeated_keys_allowed(df.sparkSession):
+        found = objects.agg(
+            F.schema_of_variant_agg(variant).alias("merged"), F.count_if(variant.isNull()).alias("unread")
+        ).first()
+    merged = found["merged"]
+    if found["unread"]:
+        log.warning("%d messages are no valid JSON objects and add no fields", found["unread"])
     if merged is None or not merged.startswith("OBJECT<"):
         return T.StructType()
     ddl = _OBJECT.sub(lambda m: "STRUCT" if m[0] == "OBJECT" else m[0], merged)
     return _settle(T.DataType.fromDDL(ddl)) or T.StructType()
 
 
+@contextmanager
+def _repeated_keys_allowed(spark: SparkSession) -> Iterator[None]:
+    """Let VARIANT values repeat a key while one job runs, as JSON readers do."""
+    key = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def _settle(found: T.DataType) -> T.DataType | None:
     """Type used for parsing in place of one found by the variant aggregate."""
     if isinstance(found, T.StructType):

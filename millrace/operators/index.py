@@ -12,9 +12,6 @@ from millrace.sources.storage import reliable_copy
 
 _IN_PARTITION = (1 << 33) - 1
 
-# One offset row is 12 bytes, so up to here the offsets are at most 12 MB.
-_BROADCAST_PARTITIONS = 1_000_000
-
 
 def row_index(
     df: DataFrame, order_by: Sequence[str | Column] = (), name: str = "index"
@@ -44,10 +41,8 @@ def row_index(
     counts = sorted((r["_part"], r["count"]) for r in numbered.groupBy("_part").count().collect())
     before = [0, *accumulate(rows for _, rows in counts)]
     offsets = df.sparkSession.createDataFrame(
-        [(part, start) for (part, _), start in zip(counts, before)], "_part int, _offset long"
+        [(part, start) for (part, _), start in zip(counts, before)], "_part int not null, _offset long not null"
     )
-    if len(counts) <= _BROADCAST_PARTITIONS:
-        offsets = F.broadcast(offsets)
     return (
         numbered.join(offsets, "_part")
         .withColumn(name, F.col("_offset") + F.col("_position"))

@@ -286,5 +286,5 @@ def _plans(
     registry: Registry | Sequence[RoutePlan], config: PipelineConfig
 ) -> tuple[RoutePlan, ...]:
     if isinstance(registry, Registry):
-        return compile_routes(registry, config.identifier, config.active_only)
+        return compile_routes(registry, config.identifier, config.active_only, config.on_error == "skip")
     return tuple(registry)

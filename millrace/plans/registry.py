@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from dataclasses import dataclass
 
@@ -13,9 +14,7 @@ from millrace.functions.paths import parse_path
 from millrace.operators.project import FieldPlan
 from millrace.sources.registry import Registry
 
-# A registry is configuration. One with more routes than this is a mistake, and
-# is refused rather than collected.
-MAX_ROUTES = 10_000
+log = logging.getLogger("millrace")
 
 
 @dataclass(frozen=True)
@@ -74,19 +73,23 @@ def undefined_structures(registry: Registry) -> DataFrame:
 
 
 def compile_routes(
-    registry: Registry, identifier: str, active_only: bool = False
+    registry: Registry, identifier: str, active_only: bool = False, skip_undefined: bool = False
 ) -> tuple[RoutePlan, ...]:
-    """Routes of an identifier as plans, in registry order."""
-    rows = routes_with_fields(registry, identifier, active_only).limit(MAX_ROUTES + 1).collect()
+    """Routes of an identifier as plans, in registry order.
+
+    A route of a structure without fields is refused, or with ``skip_undefined``
+    logged and left out. Routes are configuration and are collected whole.
+    """
+    rows = routes_with_fields(registry, identifier, active_only).collect()
     if not rows:
         raise ValueError(f"the registry has no route for identifier {identifier!r}")
-    if len(rows) > MAX_ROUTES:
-        raise ValueError(f"more than {MAX_ROUTES} routes for identifier {identifier!r}")
     orphans = sorted({row["structure"] for row in rows if not row["fields"]})
-    if orphans:
+    if orphans and not skip_undefined:
         raise ValueError(f"structures without fields: {orphans}")
+    if orphans:
+        log.warning("identifier %s: routes of structures without fields left out: %s", identifier, orphans)
     rows.sort(key=lambda row: row["ord"])
-    return tuple(_plan(number, row) for number, row in enumerate(rows, start=1))
+    return tuple(_plan(number, row) for number, row in enumerate(rows, start=1) if row["fields"])
 
 
 def _plan(number: int, row) -> RoutePlan:

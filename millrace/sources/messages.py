@@ -72,13 +72,11 @@ def text_values(
     return df.select(F.col(column).cast("string").alias("value"), *keep)
 
 
-def spread(df: DataFrame, at_least: int | None = None) -> DataFrame:
-    """Bring an input of few partitions up to ``at_least``, by default one per core.
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal the rows out over ``partitions``, by default one per core.
 
     Parsing is bound by cores, so a backlog that arrives in a handful of files or
-    broker partitions is worth one exchange of the raw text. An input that has
-    enough partitions is left alone. Batch only: a stream from Kafka takes
+    broker partitions is worth one exchange of the raw text. Batch only: a stream from Kafka takes
     ``minPartitions`` instead.
     """
-    wanted = df.sparkSession.sparkContext.defaultParallelism if at_least is None else at_least
-    return df if df.rdd.getNumPartitions() >= wanted else df.repartition(wanted)
+    return df.repartition(partitions or df.sparkSession.sparkContext.defaultParallelism)

@@ -7,7 +7,6 @@ import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
@@ -87,14 +86,13 @@ def write_batch(
             counts = held.counts()
             log.info("batch %s: %s", batch_id, counts)
             # The time of the query or of the micro-batch is a single day.
-            many_days = config.period_source is not None or clock != CLOCK
             targets: dict[str, list[RoutePlan]] = {}
             for plan in plans:
                 targets.setdefault(plan.target.lower(), []).append(plan)
 
             def write_target(same_target: list[RoutePlan]) -> list[RouteReport]:
                 return [
-                    _write_route(held, plan, counts, sink, batch_id, replay, many_days)
+                    _write_route(held, plan, counts, sink, batch_id, replay)
                     for plan in same_target
                 ]
 
@@ -119,7 +117,6 @@ def _write_route(
     sink: Sink,
     batch_id: int | str | None,
     replay: bool,
-    many_days: bool,
 ) -> RouteReport:
     rows = 0
     try:
@@ -128,8 +125,9 @@ def _write_route(
         else:
             rows = held.messages(plan).count()
         if rows or replay:
-            out = held.rows(plan)
-            out = _laid_out(out, rows, counts["partitions"], held.config, many_days)
+            # Rows of a day come together, so that tasks do not write a file per day
+            # each; Spark splits a hot day and joins small ones.
+            out = held.rows(plan).hint("rebalance", held.config.period_column)
             sink.write(out, plan, batch_id, replay)
         return RouteReport(batch_id, plan.route_id, rows, True)
     except Exception as problem:
@@ -137,23 +135,6 @@ def _write_route(
         return RouteReport(batch_id, plan.route_id, rows, False, str(problem))
 
 
-def _laid_out(
-    rows: DataFrame, count: int, partitions: int, config: PipelineConfig, many_days: bool
-) -> DataFrame:
-    """Rows in partitions that make fewer, fuller files.
-
-    With many days in a batch every task would write a file per day, so rows are
-    brought together by day; Spark splits a hot day and joins small ones. With
-    one day, only rows of a thinly spread route move, and routes with enough
-    rows per task are written without a shuffle. Messages are always filtered
-    where they are.
-    """
-    if many_days:
-        return rows.hint("rebalance", config.period_column)
-    files = max(1, ceil(count / config.rows_per_file))
-    return rows.repartition(files) if 2 * files <= partitions else rows
-
-
 def run_stream(
     stream: DataFrame,
     registry: Registry | Sequence[RoutePlan],

@@ -75,10 +75,10 @@ class FileSink:
             writer.format(self.format).options(**self.options).save(f"{self.path(plan)}/{folder}")
 
     def read(
-        self, spark: SparkSession, plan: RoutePlan, merge_schema: bool = False
+        self, spark: SparkSession, plan: RoutePlan, merge_schema: bool = True
     ) -> DataFrame:
-        """All rows of a target. ``merge_schema`` is for batches with differing
-        columns, as ``missing="omit"`` writes them; it opens every file."""
+        """All rows of a target, with the columns of all its batches. A caller who
+        knows that every batch has the same ones can spare opening every file."""
         reader = spark.read.format(self.format).option("mergeSchema", merge_schema)
         return reader.load(self.path(plan))
 

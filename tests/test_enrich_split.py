@@ -56,7 +56,15 @@ def test_contiguous_chunks_join_up(any_ansi, names):
             assert all(len(p) <= 4 for p in parts[:-1])
 
 
+def test_rest_is_kept_by_default(any_ansi):
+    df = any_ansi.createDataFrame([("abcdefghij",)], "t string")
+    assert split_wide(df, "t", 4, ["c0", "c1"]).first().asDict() == {"c0": "abc", "c1": "def", "t_rest": "ghij"}
+    for capacity, names in ((1, ["c0"]), (4, ["t"]), (4, ["c0", "c0"]), (4, ["t_rest"])):
+        with pytest.raises(ValueError):
+            split_wide(df, "t", capacity, names)
+
+
 def test_strided_chunks_skip_a_character(any_ansi):
     df = any_ansi.createDataFrame([("abcdefghijklmnopqrstuvwxyz",), ("abc",)], "t string")
-    out = split_wide(df, "t", 5, ["c0", "c1", "c2"], layout="strided")
+    out = split_wide(df, "t", 5, ["c0", "c1", "c2"], layout="strided", rest=None)
     assert [tuple(r) for r in out.collect()] == [("abcd", "efgh", "jklm"), ("abc", "", "")]

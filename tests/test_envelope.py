@@ -47,6 +47,16 @@ def assert_like_the_json_reader(spark, rows):
         assert sorted(map(repr, ours.collect())) == sorted(map(repr, theirs.collect()))
 
 
+@pytest.mark.parametrize("text", ['{"a": 1, "z": 2, "z": 3, "only": "x"}', '{"n": {"z": 1, "z": 2, "only": "x"}}'])
+def test_repeated_keys_are_found(any_ansi, text):
+    before = any_ansi.conf.get("spark.sql.variant.allowDuplicateKeys", None)
+    for texts in ([text], ['{"a": 1}', text, "{broken", None]):
+        df = any_ansi.createDataFrame([(t,) for t in texts], "value string")
+        parsed = parse_messages(df, infer_message_schema(df)).selectExpr("to_json(struct(*)) AS j")
+        assert any('"only":"x"' in row["j"] for row in parsed.collect())
+    assert any_ansi.conf.get("spark.sql.variant.allowDuplicateKeys", None) == before
+
+
 def test_inference_like_the_json_reader(any_ansi):
     assert_like_the_json_reader(any_ansi, EDGE)
 

@@ -132,7 +132,7 @@ def test_config_checks():
     with pytest.raises(ValueError):
         config(split_column="wide")
     with pytest.raises(ValueError):
-        config(rows_per_file=0)
+        config(route_threads=0)
 
 
 def test_only_wanted_fields_are_parsed(messages):

@@ -30,9 +30,11 @@ def test_quoted_text_is_left_alone(text):
 
 
 def test_forms():
-    assert pair_form("p.msm&AUDIT: Ops") == [("p.msm", "AUDIT: Ops")]
+    assert pair_form("p.gate&north side") == [("p.gate", "north side")]
     assert pair_form("a&1&b.c&2") == [("a", "1"), ("b.c", "2")]
     assert pair_form("flags & 4 = 4") is None
+    with pytest.raises(ValueError, match="odd number"):
+        pair_form("p.gate&north&south")
     assert pair_form("SELECT * FROM DataIN WHERE a&b = 1") is None
     assert condition_text("select * from datain  WHERE x = 1;") == "x = 1"
     assert condition_text("SELECT * FROM DataIN") == "true"

@@ -5,11 +5,11 @@ from millrace.operators.project import FieldPlan
 from millrace.plans.registry import routes_of, target_name, undefined_structures
 
 ROUTES = """IDENTIFICADOR;ESTRUCTURA;PATH_CLASIFICADOR;BASE_DATOS;TABLA;ESTADO
-app;S1;p.msm&AUDIT: One;8_db;raw;Activo
-app;S2;p.msm&AUDIT: One;8_db;messages;Activo
-app;S1;SELECT * FROM DataIN WHERE p.type = '01|35' AND "q" = 'a;Inactivo
-other;S9;p.msm&x;8_db;lost;Activo
-""".replace("'a;Inactivo", "'a';8_db;raw;Inactivo")
+app;S1;p.gate&north side;yard;arrivals;Activo
+app;S2;p.gate&north side;yard;notes;Activo
+app;S1;SELECT * FROM DataIN WHERE p.size > 3 OR "q" = 'a;Inactivo
+other;S9;p.gate&x;yard;lost;Activo
+""".replace("'a;Inactivo", "'a';yard;arrivals;Inactivo")
 FIELDS = """p.b;beta;String;S1
 p.a;alpha;Integer;S1
 p.c[0];user-agent;;S1
@@ -32,10 +32,10 @@ def registry(spark, files):
 def test_compile(registry):
     plans = compile_routes(registry, "app")
     assert [(p.route_id, p.structure, p.target) for p in plans] == [
-        ("app_001_raw", "S1", "8_db.raw"), ("app_002_messages", "S2", "8_db.messages"), ("app_003_raw", "S1", "8_db.raw")]
+        ("app_001_arrivals", "S1", "yard.arrivals"), ("app_002_notes", "S2", "yard.notes"), ("app_003_arrivals", "S1", "yard.arrivals")]
     assert plans[0].fields == (
         FieldPlan("p.b", "beta", "String"), FieldPlan("p.a", "alpha", "Integer"), FieldPlan("p.c[0]", "user-agent", None))
-    assert plans[2].predicate == "SELECT * FROM DataIN WHERE p.type = '01|35' AND \"q\" = 'a'"
+    assert plans[2].predicate == "SELECT * FROM DataIN WHERE p.size > 3 OR \"q\" = 'a'"
 
 
 def test_status_only_on_request(registry):
@@ -47,6 +47,7 @@ def test_refusals(spark, registry):
     assert [r["structure"] for r in undefined_structures(registry).collect()] == ["S9"]
     with pytest.raises(ValueError, match="S9"):
         compile_routes(registry, "other")
+    assert compile_routes(registry, "other", skip_undefined=True) == ()
     with pytest.raises(ValueError, match="no route"):
         compile_routes(registry, "nobody")
     twice = registry_from_frames(
@@ -87,5 +88,5 @@ def test_tables_and_formats(spark, tmp_path, registry):
 
 
 def test_target_name():
-    assert target_name("8_db", "raw") == "8_db.raw"
-    assert target_name("8_db", "raw", "impala::{db}.{table}") == "impala::8_db.raw"
+    assert target_name("yard", "in") == "yard.in"
+    assert target_name("yard", "in", "impala::{db}.{table}") == "impala::yard.in"

@@ -1,4 +1,4 @@
-"""Two realistic message shapes from end to end, with invented values."""
+"""Two message shapes of a freight yard from end to end."""
 
 import json
 from datetime import datetime
@@ -9,63 +9,35 @@ from pyspark.sql import functions as F
 from millrace import PipelineConfig, registry_from_csv, run_batch
 
 ROUTES = """identifier;structure;predicate;db;table;status
-cards;steps;SELECT * FROM DataIN WHERE operation.source_reference.product.type = 'A|1';1_db;card;Activo
-cards;steps;SELECT * FROM DataIN WHERE operation.source_reference.product.type = 'B|2' AND operation.source_reference.product.details_product.details.name[3] IS NULL;1_db;credit;Activo
-cards;left;SELECT * FROM DataIN WHERE operation.source_reference.product.details_product.details.name[3] = 'LAST';1_db;left;Activo
-audit;raw;jsonPayload.msm&AUDIT: Operations;1_db;raw;Activo
-audit;texts;jsonPayload.msm&AUDIT: Operations;1_db;texts;Activo
-audit;raw;jsonPayload.msm&AUDIT: Legal;1_db;raw;Activo
+yard;arrival;SELECT * FROM DataIN WHERE size(load.pallets) >= 2;yard;arrivals;Activo
+yard;late;SELECT * FROM DataIN WHERE load.pallets.weight[1] > 100 OR truck IS NULL;yard;checks;Activo
+sensors;raw;jsonPayload.room&cold store;plant;readings;Activo
+sensors;notes;jsonPayload.room&cold store&jsonPayload.level&high;plant;notes;Activo
+sensors;raw;jsonPayload.room&dry store;plant;readings;Activo
 """
-FIELDS = """consumer.app_consumer.session_id;session;String;steps
-consumer.device_consumer.terminal_id;terminal;String;steps
-client.document_client.number;document;String;steps
-operation.operationDate;operation_time;Timestamp_2;steps
-operation.source_reference.product.details_product.details.value[0];first_value;String;steps
-messages.service.service_details.id_device[0];device;String;steps
-messages.service.service_details.request_service[0];request;String;steps
-consumer.app_consumer.session_id;session;String;left
-operation.source_reference.product.details_product.details.name[1];event;String;left
-operation.source_reference.product.details_product.details.value[2];left_at;Timestamp_2;left
-operation.source_reference.product.details_product.details.value[3];screen;Bigint;left
-jsonPayload.msm;msm;String;raw
-jsonPayload.dataObject.consumer.deviceConsumer.userAgent;user-agent;String;raw
-jsonPayload.dataObject.consumer.deviceConsumer.sessionTimeout;sessionTimeout;Integer;raw
-jsonPayload.dataObject.operation.operationDate;fecha_hora_operacion;Timestamp;raw
-jsonPayload.dataObject.operation.statusResponse.httpError;httpError;;raw
-jsonPayload.dataObject.messages.requestService;requestService;String;texts
-jsonPayload.dataObject.messages.responseService;responseService;String;texts
+FIELDS = """truck;truck;String;arrival
+load.seal.number;seal;Bigint;arrival
+load.pallets.goods.code[0];first_code;String;arrival
+load.pallets.goods.code[9];tenth_code;String;arrival
+came;came;Timestamp_2;arrival
+load.pallets.weight[1];second_weight;Double;late
+load.pallets.goods.code[2];third_code;String;late
+jsonPayload.room;room;String;raw
+jsonPayload.probe.fan-speed;fan-speed;Integer;raw
+jsonPayload.probe.taken;fecha_hora_operacion;Timestamp;raw
+jsonPayload.probe.fault;fault;;raw
+jsonPayload.note;note;String;notes
 """
 
 
-def shape_a(session, kind, details, service):
-    return json.dumps(
-        {
-            "consumer": {"app_consumer": {"session_id": session}, "device_consumer": {"terminal_id": 7}},
-            "client": {"document_client": {"type": "01", "number": 123}},
-            "operation": {
-                "source_reference": {
-                    "type": "P",
-                    "product": {"type": kind, "details_product": {"details": details}},
-                },
-                "operationDate": "2021/03/04 05:06:07",
-            },
-            "messages": {"service": [{"service_details": service}]},
-        }
-    )
-
-
-def shape_b(msm, **operation):
-    message = {
-        "jsonPayload": {
-            "msm": msm,
-            "dataObject": {
-                "consumer": {"deviceConsumer": {"userAgent": "ua", "sessionTimeout": 30}},
-                "operation": operation,
-                "messages": {"requestService": "<a>ñ</a>" * 3, "responseService": ""},
-            },
-        }
-    }
-    return "Topic1:\tx" + json.dumps(message, ensure_ascii=False)
+def arrival(truck, weights, came="2021/03/04 05:06:07"):
+    pallets = [{"weight": w, "goods": {"code": f"c{i}"}} for i, w in enumerate(weights)]
+    return json.dumps({"truck": truck, "came": came, "load": {"seal": {"number": 12}, "pallets": pallets}})
+
+
+def reading(room, level="low", **probe):
+    body = {"jsonPayload": {"room": room, "level": level, "probe": {"fan-speed": 30, **probe}, "note": "ñ, <ok/>"}}
+    return "Line7:\tx" + json.dumps(body, ensure_ascii=False)
 
 
 @pytest.fixture()
@@ -80,46 +52,43 @@ def messages(spark, texts):
     return spark.createDataFrame([(t,) for t in texts], "value string").withColumn("at", clock)
 
 
-def by_table(frames):
-    return {
-        route.split("_", 2)[2]: [tuple(r) for r in df.drop("fecha_hora_kudu", "periodo").collect()]
-        for route, df in frames.items()
-    }
-
-
 def test_whole_messages(any_ansi, registry):
-    one = [{"name": "REQUEST", "value": "17"}]
-    four = [*one, {"name": "EVENT", "value": "0"}, {"name": "AT", "value": "2021/03/04 05:06:07.767"},
-            {"name": "LAST", "value": "2"}]
     texts = [
-        shape_a("s1", "A|1", one, {"request_service": "", "response_service": ""}),
-        shape_a("s2", "B|2", one, {"id_device": "d", "request_service": "<x/>", "response_service": ""}),
-        shape_a("s3", "B|2", four, {"request_service": "r", "response_service": ""}),
-        shape_a("s4", "C|3", [], {}),
+        arrival("t1", [5.5]),
+        arrival("t2", [5.5, 120.25, 7]),
+        arrival("t3", [5.5, 80], came="never"),
+        arrival(None, []),
     ]
-    config = PipelineConfig("cards", payload_column=None, time_zone="America/Bogota")
-    at = datetime(2021, 3, 4, 5, 6, 7)
-    assert by_table(run_batch(messages(any_ansi, texts), registry, config, "at")) == {
-        "card": [("s1", "7", "123", at, "17", None, "")],
-        "credit": [("s2", "7", "123", at, "17", "d", "<x/>")],
-        "left": [("s3", "EVENT", at, 2)],
+    config = PipelineConfig("yard", payload_column=None, time_zone="America/Bogota")
+    frames = run_batch(messages(any_ansi, texts), registry, config, "at")
+    shown = {
+        route: sorted((tuple(r) for r in df.drop("fecha_hora_kudu", "periodo").collect()), key=str)
+        for route, df in frames.items()
+    }
+    assert shown == {
+        "yard_001_arrivals": [
+            ("t2", 12, "c0", None, datetime(2021, 3, 4, 5, 6, 7)),
+            ("t3", 12, "c0", None, None),
+        ],
+        "yard_002_checks": [(120.25, "c2"), (None, None)],
     }
 
 
 def test_wrapped_messages(any_ansi, registry):
     texts = [
-        shape_b("AUDIT: Operations", operationDate="2021-03-04T05:06:07.000-05:00", statusResponse={"httpError": 500}),
-        shape_b("AUDIT: Legal", operationDate="no date"),
-        shape_b("AUDIT: Other"),
+        reading("cold store", "high", taken="2021-03-04T05:06:07.000-05:00", fault=7),
+        reading("dry store", taken="no date"),
+        reading("roof"),
         '{"heartbeat": 1}',
-        "Topic1: x{}",
+        "Line7: x{}",
     ]
-    config = PipelineConfig("audit", time_zone="America/Bogota")
+    config = PipelineConfig("sensors", time_zone="America/Bogota")
     frames = run_batch(messages(any_ansi, texts), registry, config, "at")
-    assert [list(df.columns) for df in frames.values()][0] == [
-        "msm", "user-agent", "sessionTimeout", "fecha_hora_operacion", "httpError", "fecha_hora_kudu", "periodo"]
-    assert [tuple(r) for r in frames["audit_001_raw"].collect()] == [
-        ("AUDIT: Operations", "ua", 30, datetime(2021, 3, 4, 5, 6, 7), 500, datetime(2021, 3, 4, 21, 0), 20210305)]
-    assert [r["requestService"] for r in frames["audit_002_texts"].collect()] == ["<a>ñ</a>" * 3]
-    assert [(r["msm"], r["fecha_hora_operacion"], r["httpError"]) for r in frames["audit_003_raw"].collect()] == [
-        ("AUDIT: Legal", None, None)]
+    first = frames["sensors_001_readings"]
+    assert first.columns == ["room", "fan-speed", "fecha_hora_operacion", "fault", "fecha_hora_kudu", "periodo"]
+    assert [tuple(r) for r in first.collect()] == [
+        ("cold store", 30, datetime(2021, 3, 4, 5, 6, 7), 7, datetime(2021, 3, 4, 21, 0), 20210305)
+    ]
+    assert [r["note"] for r in frames["sensors_002_notes"].collect()] == ["ñ, <ok/>"]
+    third = frames["sensors_003_readings"].collect()
+    assert [(r["room"], r["fecha_hora_operacion"], r["fault"]) for r in third] == [("dry store", None, None)]

@@ -241,7 +241,7 @@ def test_text_values(spark):
 
 def test_spread(spark):
     assert spread(spark.range(10, numPartitions=2), 6).rdd.getNumPartitions() == 6
-    assert spread(spark.range(10, numPartitions=9), 6).rdd.getNumPartitions() == 9
+    assert spread(spark.range(10, numPartitions=9), 6).rdd.getNumPartitions() == 6
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):

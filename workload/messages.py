@@ -41,7 +41,7 @@ FIELDS = {
         ("jsonPayload.event_id", "event_id", "Bigint"),
         ("jsonPayload.user_id", "user_id", "Int"),
         ("jsonPayload.details.value[1]", "second_step", "String"),
-        ("jsonPayload.details.name[3]", "last_step", "String"),
+        ("jsonPayload.details.name[3]", "fourth_step", "String"),
         ("jsonPayload.ts_text", "fecha_hora_operacion", "Timestamp_2"),
     ],
 }
@@ -62,7 +62,7 @@ def payload(k: str | Column = "k") -> Column:
         ("K", k.cast("string")),
         ("USER", F.col("user_id").cast("string")),
         ("TYPE", F.col("event_type")),
-        ("LAST_STEP", F.col("event_id").cast("string")),
+        ("FOURTH", F.col("event_id").cast("string")),
     ]
     details = F.array(*[F.struct(F.lit(n).alias("name"), v.alias("value")) for n, v in entries])
     return F.struct(

@@ -19,7 +19,7 @@ def _shown(purchases: str, problems: str, short: str) -> str:
     base = """SELECT '{label}' AS route, event_id, CAST(user_id AS INTEGER) AS user_id,
       CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS periodo,
       CAST({whole} AS INTEGER) AS whole_value, {event_type} AS event_type,
-      {second} AS second_step, {last} AS last_step,
+      {second} AS second_step, {last} AS fourth_step,
       strftime(date_trunc('second', ts) - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S') AS operation,
       strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ingest
     FROM e WHERE {where}"""
@@ -28,7 +28,7 @@ def _shown(purchases: str, problems: str, short: str) -> str:
         whole="-1",
         event_type="'-'",
         second="CASE WHEN k % 4 >= 1 THEN CAST(user_id AS VARCHAR) ELSE '-' END",
-        last="CASE WHEN k % 4 >= 3 THEN 'LAST_STEP' ELSE '-' END",
+        last="CASE WHEN k % 4 >= 3 THEN 'FOURTH' ELSE '-' END",
     )
     return _E + " UNION ALL ".join(
         [
@@ -106,7 +106,7 @@ ORACLES: dict[str, str] = {
     "project_missing_null": f"{_E} SELECT event_id, k, true AS note_is_null, 'string' AS note_type FROM e",
     "project_case": f'{_E} SELECT event_id, k AS "user-k" FROM e',
     "project_array_field": f"""{_E} SELECT event_id,
-          array_to_string(list_slice(['K', 'USER', 'TYPE', 'LAST_STEP'], 1, {_DETAILS}), ',') AS names,
+          array_to_string(list_slice(['K', 'USER', 'TYPE', 'FOURTH'], 1, {_DETAILS}), ',') AS names,
           array_to_string(list_slice([{', '.join(_STEP_VALUES)}], 1, {_DETAILS}), ',') AS texts,
           CAST({_DETAILS} AS INTEGER) AS entries FROM e""",
     "project_array_index": f"""{_E} SELECT event_id,
@@ -175,9 +175,11 @@ ORACLES: dict[str, str] = {
     "pipeline_split": """SELECT lang AS route, doc_id, lang, substr(text, 1, 5000) AS c0,
           substr(text, 5001, 5000) AS c1, substr(text, 10001, 5000) AS c2, substr(text, 15001, 5000) AS c3,
           substr(text, 20001) AS rest FROM documents WHERE lang IN ('en', 'de')""",
-    "pipeline_whole_message": f"""{_E} SELECT CASE WHEN k % 4 = 3 THEN 'finished' ELSE 'started' END AS route,
-          event_id, '01|' || k AS product, CASE WHEN k % 4 = 3 THEN event_id ELSE -1 END AS step
-        FROM e WHERE k % 4 = 3 OR k = 8""",
+    "parse_repeated_keys": f"""{_E} SELECT event_id, CASE WHEN k % 3 = 0 THEN 'e' || k ELSE '-' END AS err FROM e""",
+    "split_wide_default": "SELECT doc_id, true AS same FROM documents",
+    "pipeline_whole_message": f"""{_E} SELECT CASE WHEN k % 4 = 3 THEN 'full' ELSE 'single' END AS route,
+          event_id, CAST(k AS INTEGER) AS lane, CASE WHEN k % 4 = 3 THEN event_id ELSE -1 END AS stop
+        FROM e WHERE k % 4 = 3 OR (k % 4 = 0 AND k BETWEEN 20 AND 59)""",
     "sink_table": _shown("purchases", "problems", "short_visits"),
     "sink_connector": _shown("purchases", "problems", "short_visits"),
     "sink_append": _shown("sales.purchases", "ops.problems", "ops.short_visits"),

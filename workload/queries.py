@@ -439,7 +439,7 @@ def _union(frames: dict[str, DataFrame]) -> DataFrame:
 
 def _shown(df: DataFrame) -> DataFrame:
     """Stable columns of the routed events, for comparing."""
-    texts = ["event_type", "second_step", "last_step"]
+    texts = ["event_type", "second_step", "fourth_step"]
     return df.select(
         "route",
         "event_id",
@@ -483,31 +483,43 @@ def pipeline_split(spark, sf_dir):
     return _union(run_batch(messages, plans, config)).drop("fecha_hora_kudu", "periodo")
 
 
+def parse_repeated_keys(spark, sf_dir):
+    """Messages that repeat a key; a field of only such messages is found all the same."""
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
+    twice = F.format_string('{"id": %d, "z": 1, "z": 2, "err": "e%d"}', "event_id", "k")
+    once = F.format_string('{"id": %d, "z": 3}', "event_id")
+    messages = events.select(F.when(F.col("k") % 3 == 0, twice).otherwise(once).alias("value"))
+    parsed = parse_messages(messages, infer_message_schema(messages))
+    return parsed.select(F.col("id").alias("event_id"), F.coalesce("err", F.lit("-")).alias("err"))
+
+
+def split_wide_default(spark, sf_dir):
+    """Chunks and the rest that is kept without being asked for join up to the text."""
+    df = table(spark, sf_dir, "documents").select("doc_id", "text", F.md5("text").alias("whole"))
+    out = split_wide(df, "text", 101, ["c0", "c1"])
+    return out.select("doc_id", (F.md5(F.concat("c0", "c1", "text_rest")) == F.col("whole")).alias("same"))
+
+
 def pipeline_whole_message(spark, sf_dir):
-    """Messages without a payload column, matched on a position of a nested array."""
-    product = F.struct(
-        F.concat(F.lit("01|"), F.col("k").cast("string")).alias("type"),
-        F.struct(payload()["details"].alias("details")).alias("details_product"),
-    )
+    """Messages without a payload column, matched on the size of a nested array of structs."""
     events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
-    operation = F.struct("event_type", product.alias("product"))
-    messages = events.select(F.to_json(F.struct("event_id", operation.alias("operation"))).alias("value"))
+    visit = F.struct(F.col("event_type").alias("sort"), payload()["details"].alias("stops"))
+    messages = events.select(F.to_json(F.struct("event_id", F.col("k").alias("lane"), visit.alias("visit"))).alias("value"))
     fields = (
         FieldPlan("event_id", "event_id", "Bigint"),
-        FieldPlan("operation.product.type", "product", "String"),
-        FieldPlan("operation.product.details_product.details.value[3]", "step", "Bigint"),
+        FieldPlan("lane", "lane", "Int"),
+        FieldPlan("visit.stops.value[3]", "stop", "Bigint"),
     )
-    at = "operation.product.details_product.details.name[3]"
     plans = [
-        RoutePlan("finished", "OP", f"SELECT * FROM DataIN WHERE {at} = 'LAST_STEP'", "ops", "finished", fields),
+        RoutePlan("full", "V", "SELECT * FROM DataIN WHERE size(visit.stops) = 4", "yard", "full", fields),
         RoutePlan(
-            "started", "OP", f"SELECT * FROM DataIN WHERE operation.product.type = '01|8' AND {at} IS NULL",
-            "ops", "started", fields,
+            "single", "V", "SELECT * FROM DataIN WHERE visit.stops.name[1] IS NULL AND lane BETWEEN 20 AND 59",
+            "yard", "single", fields,
         ),
     ]
     config = event_config(message_schema=None, payload_column=None)
     rows = _union(run_batch(messages, plans, config))
-    return rows.select("route", "event_id", "product", F.coalesce("step", F.lit(-1)).alias("step"))
+    return rows.select("route", "event_id", "lane", F.coalesce("stop", F.lit(-1)).alias("stop"))
 
 
 def _read_targets(spark: SparkSession, sink: FileSink, plans: tuple[RoutePlan, ...]) -> DataFrame:
@@ -661,6 +673,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_batch": pipeline_batch,
     "pipeline_inferred": pipeline_inferred,
     "pipeline_split": pipeline_split,
+    "parse_repeated_keys": parse_repeated_keys,
+    "split_wide_default": split_wide_default,
     "pipeline_whole_message": pipeline_whole_message,
     "sink_append": sink_append,
     "sink_table": sink_table,
