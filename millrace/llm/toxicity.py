@@ -19,6 +19,9 @@ BUCKETS, PREFIXES = 1 << 18, (5, 6, 7)
 PER_CLASS = 2000
 #: Steps of training, documents of a step, rate, and pull of weights towards zero.
 STEPS, STEP, RATE, DECAY = 2000, 64, 0.7, 1e-5
+#: Log odds that a sentence is toxic before any word is read, where training begins. Low, so that
+#: many sentences without a sign of toxicity do not add up to a toxic document.
+BIAS = -7.0
 #: A word counts if this many training documents have it.
 LEAST_DOCUMENTS = 5
 #: Bytes of text read at a time.
@@ -83,7 +86,7 @@ def train(
     use = documents >= min(LEAST_DOCUMENTS, len(y))
     texts = [(b[use[b]], s[use[b]], len(np.unique(s))) for b, s in texts]
     weigh = weigh / weigh.mean()
-    bias, grown, bias_grown = -4.0, np.full(BUCKETS, 1e-8), 1e-8
+    bias, grown, bias_grown = BIAS, np.full(BUCKETS, 1e-8), 1e-8
     passes = -(-STEPS * STEP // len(y))
     order = np.concatenate([random.permutation(len(y)) for _ in range(passes)])[: STEPS * STEP]
     for at in range(0, len(order), STEP):
