@@ -14,7 +14,7 @@ from millrace.llm.common import label_bucket
 from millrace.llm.hashing import byte_class, word_hashes
 from millrace.llm.labelled import training_sample
 
-#: Hash buckets, width of an embedding, lengths of byte n-grams.
+#: Hash buckets, width of an embedding, lengths of character n-grams.
 BUCKETS, WIDTH, NGRAMS = 1 << 16, 8, (3, 4)
 #: Labelled documents of each class that training reads at most, and its passes over them.
 PER_CLASS, EPOCHS, RATE = 1500, 12, 20.0
@@ -35,18 +35,20 @@ def _pieces(data: bytes) -> Iterator[bytes]:
 
 
 def features(data: bytes) -> np.ndarray:
-    """How often each bucket occurs in a text: words, byte n-grams as written, and
-    in bucket 0 the pairs of a word and itself, whatever the word."""
+    """How often each bucket occurs in a text: words, character n-grams as written,
+    and in bucket 0 the pairs of a word and itself, whatever the word."""
     counts = np.zeros(BUCKETS, np.int64)
     for piece in _pieces(data):
         array = np.frombuffer(piece, np.uint8)
         words, _ = word_hashes(array, IS_WORD)
         found = [words >> np.uint64(48), np.zeros(np.count_nonzero(words[1:] == words[:-1]), np.uint64)]
-        wide = array.astype(np.uint64)
+        letters = np.frombuffer(piece.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
         for n in NGRAMS:
-            if len(wide) >= n:
-                grams = sum(wide[i : len(wide) - n + 1 + i] << np.uint64(8 * i) for i in range(n))
-                found.append((grams + np.uint64(n << 56)) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(48))
+            if len(letters) >= n:
+                grams = np.full(len(letters) - n + 1, n, np.uint64)
+                for i in range(n):
+                    grams = (grams + letters[i : len(letters) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+                found.append(grams >> np.uint64(48))
         counts += np.bincount(np.concatenate(found).astype(np.int64), minlength=BUCKETS)
     return counts
 
@@ -108,8 +110,8 @@ def quality_scores(
 ) -> DataFrame:
     """``doc_id, held_out, score, predicted`` for every row of ``docs``.
 
-    A text is the average of the learned vectors of its hashed words and byte
-    n-grams, counted over the whole text; a softmax layer gives the probability
+    A text is the average of the learned vectors of its hashed words and
+    character n-grams, counted over the whole text; a softmax layer gives the probability
     of label 1. Training reads at most ``per_class`` documents of each label,
     none of whose crc32 of the id modulo 3 is 1 (those are held out). Tasks count
     their features; the driver trains on the counts, which the sample bounds,
