@@ -21,6 +21,7 @@ _CHOICES = {
     "split_layout": ("contiguous", "strided"),
     "on_error": ("fail", "skip"),
     "reuse": ("persist", "stage", "none"),
+    "untyped": ("text", "found"),
 }
 
 
@@ -29,7 +30,9 @@ class PipelineConfig:
     """What to route and how to shape it.
 
     ``message_schema`` is the DDL of a whole message; when it is ``None`` the
-    schema is inferred from the data, which costs one extra pass.
+    schema is inferred from the data, which costs one extra pass. Its types can then
+    differ from batch to batch; ``untyped="text"`` writes columns without a type of
+    their own as text, ``"found"`` as they are.
     ``payload_column=None`` routes whole messages instead of one payload column.
     """
 
@@ -41,6 +44,7 @@ class PipelineConfig:
 
     missing: str = "null"
     extended_types: bool = False
+    untyped: str = "text"
 
     time_zone: str | None = None
     ingest_column: str = INGEST_COLUMN

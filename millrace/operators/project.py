@@ -51,6 +51,29 @@ def project_fields(
     return df.select(*columns, *keep)
 
 
+def untyped_fields(fields: Sequence[FieldPlan], extended: bool = False) -> list[str]:
+    """Names of the columns whose type the registry leaves to the data."""
+    return [field.name for field in fields if target_type(field.type, extended) is None]
+
+
+def as_text(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The named columns as text, nested values as JSON; the other columns as they are.
+
+    So a column that is a number in one batch, absent in the next and text in
+    another has one type in its target, and no value is lost.
+    """
+    wanted = {name.lower() for name in names}
+
+    def text(field: T.StructField) -> Column:
+        column = F.col(quote(field.name))
+        if field.name.lower() not in wanted:
+            return column
+        nested = isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType))
+        return (F.to_json(column) if nested else column.cast("string")).alias(field.name)
+
+    return df.select(*[text(field) for field in df.schema.fields])
+
+
 def _column(known: T.StructType, field: FieldPlan, cast: bool, extended: bool) -> Column:
     source = path_type(known, field.path)
     if source is None:

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from millrace.config import PipelineConfig
 from millrace.functions.paths import quote
+from millrace.operators.project import as_text, untyped_fields
 from millrace.operators.route import is_filter
 from millrace.plans.pipeline import CLOCK, Routed, _plans, route_messages
 from millrace.plans.registry import RoutePlan
@@ -127,14 +128,22 @@ def _write_route(
         if rows or replay:
             # Rows of a day come together, so that tasks do not write a file per day
             # each; Spark splits a hot day and joins small ones.
-            out = held.rows(plan).hint("rebalance", held.config.period_column)
-            sink.write(out, plan, batch_id, replay)
+            out = _stable(held.rows(plan), plan, held.config)
+            sink.write(out.hint("rebalance", held.config.period_column), plan, batch_id, replay)
         return RouteReport(batch_id, plan.route_id, rows, True)
     except Exception as problem:
         log.exception("batch %s, route %s failed", batch_id, plan.route_id)
         return RouteReport(batch_id, plan.route_id, rows, False, str(problem))
 
 
+def _stable(rows: DataFrame, plan: RoutePlan, config: PipelineConfig) -> DataFrame:
+    """Rows whose column types do not depend on what a batch happens to hold."""
+    if config.message_schema is not None or config.untyped == "found":
+        return rows
+    names = untyped_fields(plan.fields, config.extended_types)
+    return as_text(rows, [name for name in names if name.lower() != config.event_time_column.lower()])
+
+
 def run_stream(
     stream: DataFrame,
     registry: Registry | Sequence[RoutePlan],

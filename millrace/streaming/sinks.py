@@ -15,9 +15,11 @@ from typing import Protocol
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.config import PERIOD_COLUMN
 from millrace.functions.paths import quote
+from millrace.operators.project import untyped_fields
 from millrace.plans.registry import RoutePlan, target_name
 
 
@@ -88,12 +90,26 @@ def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | str | None) -> Dat
     return rows.withColumns({"batch_id": name, "route": F.lit(plan.route_id)})
 
 
+def _as_stored(rows: DataFrame, stored: T.StructType, plan: RoutePlan) -> DataFrame:
+    """Untyped columns cast to the types that the target already has."""
+    untyped = {name.lower() for name in untyped_fields(plan.fields)}
+    kinds = {f.name.lower(): f.dataType for f in stored.fields if f.name.lower() in untyped}
+    casts = {
+        f.name: F.col(quote(f.name)).cast(kinds[f.name.lower()])
+        for f in rows.schema.fields
+        if kinds.get(f.name.lower(), f.dataType) != f.dataType
+    }
+    return rows.withColumns(casts)
+
+
 @dataclass(frozen=True)
 class TableSink:
     """Catalog tables ``db.table``, partitioned by batch, route and day.
 
     A streamed batch overwrites its own batch and route partitions as a whole, so
     a replay does not add rows twice. Batch jobs append, with no batch number.
+    Columns without a type in the registry take the type the table has; a value
+    that it cannot hold is an error, so the batch is not committed without it.
     """
 
     format: str = "parquet"
@@ -115,6 +131,7 @@ class TableSink:
         columns = spark.table(name).columns
         if sorted(columns) != sorted(marked.columns):
             raise ValueError(f"{name} has columns {columns}, not {marked.columns}")
+        rows, marked = (_as_stored(df, spark.table(name).schema, plan) for df in (rows, marked))
         if batch_id is None:
             marked.select(*[quote(c) for c in columns]).write.insertInto(name)
             return

@@ -52,6 +52,8 @@ _STREAM = _E + " UNION ALL ".join(
     )
 )
 
+_DRIFT = _E + """SELECT event_id, CASE k % 3 WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN '-' ELSE 'e' || k END AS err FROM e"""
+
 _REGISTRY = """WITH r AS (
   SELECT DISTINCT 'orders_' || o_orderstatus AS identifier,
     'S' || substr(o_orderpriority, 1, 1) AS structure,
@@ -186,6 +188,10 @@ ORACLES: dict[str, str] = {
     "sink_report": f"""{_E} SELECT 'events_app_001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
         UNION ALL SELECT 'events_app_002_problems', count(*), true FROM e WHERE {_PROBLEMS}
         UNION ALL SELECT 'events_app_003_short_visits', count(*), true FROM e WHERE {_SHORT}""",
+    "sink_type_drift": " UNION ALL ".join(f"SELECT '{sink}' AS route, * FROM ({_DRIFT})" for sink in ("files", "tables")),
+    "sink_omit_read": _DRIFT,
+    "registry_skip_orphan": _PIPELINE,
+    "stream_trigger": _STREAM,
     "stream_route": _STREAM,
     "stream_inferred": _STREAM,
     "stream_replay": _STREAM,

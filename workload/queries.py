@@ -500,6 +500,13 @@ def split_wide_default(spark, sf_dir):
     return out.select("doc_id", (F.md5(F.concat("c0", "c1", "text_rest")) == F.col("whole")).alias("same"))
 
 
+def registry_skip_orphan(spark, sf_dir):
+    """A route whose structure has no fields is left out; the others run."""
+    registry = event_registry(spark, (("EV_NONE", "jsonPayload.event_type&click", "ops", "nowhere"),))
+    config = event_config(on_error="skip")
+    return _shown(_union(run_batch(event_messages(spark, sf_dir), registry, config, "ts")))
+
+
 def pipeline_whole_message(spark, sf_dir):
     """Messages without a payload column, matched on the size of a nested array of structs."""
     events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
@@ -559,6 +566,42 @@ def sink_connector(spark, sf_dir):
     return _shown(_union({p.table: spark.read.parquet(f"{root}/{p.db}__{p.table}") for p in plans}))
 
 
+def _drifting(spark, sf_dir) -> list[DataFrame]:
+    """Three batches of messages: a field is a number, absent, and text."""
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
+    err = [F.col("k"), None, F.concat(F.lit("e"), F.col("k").cast("string"))]
+    return [
+        events.where(F.col("k") % 3 == n).select(
+            F.to_json(F.struct("event_id", *([] if value is None else [value.alias("err")]))).alias("value")
+        )
+        for n, value in enumerate(err)
+    ]
+
+
+def sink_type_drift(spark, sf_dir):
+    """A field without a declared type, found with other types in other batches."""
+    name = f"workload_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{scratch_path(spark, 'warehouse')}'")
+    fields = (FieldPlan("event_id", "event_id", "Bigint"), FieldPlan("err", "err"))
+    plan = RoutePlan("all", "D", "event_id IS NOT NULL", name, "drift", fields)
+    config, files, tables = event_config(message_schema=None, payload_column=None), FileSink(scratch_path(spark, "files")), TableSink()
+    for messages in _drifting(spark, sf_dir):
+        for sink in (files, tables):
+            write_batch(messages, [plan], config, sink)
+    rows = _union({"files": files.read(spark, plan).drop("route"), "tables": spark.table(tables.name(plan)).drop("route")})
+    return rows.select("route", "event_id", F.coalesce("err", F.lit("-")).alias("err"))
+
+
+def sink_omit_read(spark, sf_dir):
+    """Columns that only some batches have are there when a target is read."""
+    fields = (FieldPlan("event_id", "event_id", "Bigint"), FieldPlan("err", "err", "String"))
+    plan = RoutePlan("all", "D", "event_id IS NOT NULL", "ops", "omit", fields)
+    config, sink = event_config(message_schema=None, payload_column=None, missing="omit"), FileSink(scratch_path(spark, "files"))
+    for messages in _drifting(spark, sf_dir):
+        write_batch(messages, [plan], config, sink)
+    return sink.read(spark, plan).select("event_id", F.coalesce("err", F.lit("-")).alias("err"))
+
+
 def sink_report(spark, sf_dir):
     """Rows and outcome of every route as the writer reports them."""
     sink = FileSink(scratch_path(spark, "tables"))
@@ -619,6 +662,20 @@ def stream_inferred(spark, sf_dir):
     return _run(spark, sf_dir, lambda sink: sink, message_schema=None)
 
 
+def stream_trigger(spark, sf_dir):
+    """A stream that looks for messages every 200 milliseconds, until all are written."""
+    sink = FileSink(scratch_path(spark, "stream-out"))
+    plans = compile_routes(event_registry(spark), event_config().identifier)
+    query = run_stream(
+        _stream_source(spark, sf_dir), plans, event_config(), sink, scratch_path(spark, "stream-state"), trigger_ms=200
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return _stream_rows(spark, sink, plans)
+
+
 def stream_replay(spark, sf_dir):
     """The first batch breaks after writing and comes again; no row is there twice."""
     return _run(spark, sf_dir, FailsOnce, tries=2)
@@ -680,6 +737,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_table": sink_table,
     "sink_connector": sink_connector,
     "sink_report": sink_report,
+    "sink_type_drift": sink_type_drift,
+    "sink_omit_read": sink_omit_read,
+    "registry_skip_orphan": registry_skip_orphan,
+    "stream_trigger": stream_trigger,
     "stream_route": stream_route,
     "stream_inferred": stream_inferred,
     "stream_replay": stream_replay,
