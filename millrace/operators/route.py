@@ -17,11 +17,11 @@ from millrace.functions.predicates import (
     select_text,
 )
 
-def route_filter(df: DataFrame, predicate: str, parsed: bool = True) -> DataFrame:
+def route_filter(df: DataFrame, predicate: str, parsed: bool = False) -> DataFrame:
     """Messages that match one registry predicate.
 
-    Pass ``parsed=False`` for columns that were not just parsed from JSON but are
-    stored as such, so that Spark can push the test down to the files.
+    Spark can push the test down to the files. Pass ``parsed=True`` for columns
+    just parsed from JSON, so that the test does not parse the text once more.
     """
     with lenient(df.sparkSession):
         column = predicate_column(predicate, df.schema)

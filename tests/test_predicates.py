@@ -143,7 +143,7 @@ def test_no_routes(messages):
 
 def test_stored_columns_are_tested_in_the_scan(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    plan = route_filter(events, "event_type&error", parsed=False)._jdf.queryExecution().executedPlan().toString()
+    plan = route_filter(events, "event_type&error")._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(event_type,error)" in plan
 
 

@@ -52,6 +52,10 @@ _STREAM = _E + " UNION ALL ".join(
     )
 )
 
+_REPORT = f"""{_E} SELECT 'events_app_001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
+  UNION ALL SELECT 'events_app_002_problems', count(*), true FROM e WHERE {_PROBLEMS}
+  UNION ALL SELECT 'events_app_003_short_visits', count(*), true FROM e WHERE {_SHORT}"""
+
 _DRIFT = _E + """SELECT event_id, CASE k % 3 WHEN 0 THEN CAST(k AS VARCHAR) WHEN 1 THEN '-' ELSE 'e' || k END AS err FROM e"""
 
 _REGISTRY = """WITH r AS (
@@ -157,6 +161,9 @@ ORACLES: dict[str, str] = {
     "enrich_tz_shift": """SELECT event_id, CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS periodo,
           strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS ingest,
           strftime(ts - INTERVAL 41 HOUR, '%Y-%m-%d %H:%M:%S.%f') AS operation FROM events""",
+    "enrich_tz_dst": """SELECT event_id, CAST(month AS INTEGER) AS month, CAST(strftime(clock, '%Y%m%d') AS INTEGER) AS periodo,
+          strftime(clock AT TIME ZONE 'UTC' AT TIME ZONE 'America/New_York', '%Y-%m-%d %H:%M:%S.%f') AS ingest
+        FROM (SELECT event_id, month, ts::TIMESTAMP + to_months(month::INTEGER) AS clock FROM events, range(12) AS m(month))""",
     "normalise_iso_text": """SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS "text",
           strftime(ts, '%Y-%m-%d %H:%M:%S') AS read_back FROM events""",
     "split_wide_strided": """SELECT doc_id, substr(text, 1, 5000) AS c0, substr(text, 5001, 5000) AS c1,
@@ -185,9 +192,8 @@ ORACLES: dict[str, str] = {
     "sink_table": _shown("purchases", "problems", "short_visits"),
     "sink_connector": _shown("purchases", "problems", "short_visits"),
     "sink_append": _shown("sales.purchases", "ops.problems", "ops.short_visits"),
-    "sink_report": f"""{_E} SELECT 'events_app_001_purchases' AS route, count(*) AS rows, true AS ok FROM e WHERE {_PURCHASES}
-        UNION ALL SELECT 'events_app_002_problems', count(*), true FROM e WHERE {_PROBLEMS}
-        UNION ALL SELECT 'events_app_003_short_visits', count(*), true FROM e WHERE {_SHORT}""",
+    "sink_report": _REPORT,
+    "sink_report_failure": _REPORT + " UNION ALL SELECT 'events_app_004_broken', 0, false",
     "sink_type_drift": " UNION ALL ".join(f"SELECT '{sink}' AS route, * FROM ({_DRIFT})" for sink in ("files", "tables")),
     "sink_omit_read": _DRIFT,
     "registry_skip_orphan": _PIPELINE,

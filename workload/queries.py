@@ -258,7 +258,7 @@ def cast_timestamp_slash(spark, sf_dir):
 
 def route_eq(spark, sf_dir):
     return flat(
-        route_filter(parsed(spark, sf_dir), "SELECT * FROM DataIN WHERE jsonPayload.event_type = 'error'"),
+        route_filter(parsed(spark, sf_dir), "SELECT * FROM DataIN WHERE jsonPayload.event_type = 'error'", parsed=True),
         *BASE,
     )
 
@@ -268,12 +268,12 @@ def route_null_and_index(spark, sf_dir):
         "SELECT * FROM DataIN WHERE jsonPayload.details.name[0] = 'K' "
         "AND jsonPayload.details.name[3] IS NULL AND jsonPayload.event_type <> 'a[3] b'"
     )
-    return flat(route_filter(parsed(spark, sf_dir), predicate), *BASE)
+    return flat(route_filter(parsed(spark, sf_dir), predicate, parsed=True), *BASE)
 
 
 def route_legacy_pair(spark, sf_dir):
     predicate = "jsonPayload.event_type&view&jsonPayload.details.value[0]&7"
-    return flat(route_filter(parsed(spark, sf_dir), predicate), *BASE)
+    return flat(route_filter(parsed(spark, sf_dir), predicate, parsed=True), *BASE)
 
 
 def route_select(spark, sf_dir):
@@ -282,13 +282,13 @@ def route_select(spark, sf_dir):
         "SELECT jsonPayload FROM DataIN WHERE jsonPayload.value > 50 AND jsonPayload.event_type IN "
         "(SELECT DISTINCT jsonPayload.event_type FROM DataIN WHERE jsonPayload.value > 400)"
     )
-    return flat(route_filter(parsed(spark, sf_dir), predicate), *BASE)
+    return flat(route_filter(parsed(spark, sf_dir), predicate, parsed=True), *BASE)
 
 
 def route_lenient(spark, sf_dir):
     """Comparing text with a number is null where the text is no number."""
     predicate = "SELECT * FROM DataIN WHERE jsonPayload.details.value[2] = 0 OR jsonPayload.value_text >= 100"
-    return flat(route_filter(parsed(spark, sf_dir), predicate), *BASE)
+    return flat(route_filter(parsed(spark, sf_dir), predicate, parsed=True), *BASE)
 
 
 def route_fanout(spark, sf_dir):
@@ -388,6 +388,15 @@ def enrich_tz_shift(spark, sf_dir):
     )
 
 
+def enrich_tz_dst(spark, sf_dir):
+    """The shift follows the zone's summer time; each event comes a month later a row more, for a year."""
+    months = F.explode(F.sequence(F.lit(0), F.lit(11)))
+    events = table(spark, sf_dir, "events").select("event_id", "ts", months.alias("month"))
+    later = events.withColumn("clock", F.col("ts") + F.make_ym_interval(F.lit(0), F.col("month")))
+    df = enrich(later, "America/New_York", F.col("clock"))
+    return df.select("event_id", "month", "periodo", stamp("fecha_hora_kudu", MICROS).alias("ingest"))
+
+
 def normalise_iso_text_query(spark, sf_dir):
     iso = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("-05:00"))
     text = table(spark, sf_dir, "events").select("event_id", normalise_iso_text(iso).alias("text"))
@@ -578,6 +587,14 @@ def _drifting(spark, sf_dir) -> list[DataFrame]:
     ]
 
 
+def sink_report_failure(spark, sf_dir):
+    """A route that cannot run is reported as failed, with no rows; the others are written."""
+    bad = ("EV_BASE", "jsonPayload.no_such_field.x = 'y'", "ops", "broken")
+    sink, config = FileSink(scratch_path(spark, "tables")), event_config(on_error="skip")
+    reports = write_batch(event_messages(spark, sf_dir), event_registry(spark, (bad,)), config, sink, "ts")
+    return spark.createDataFrame([(r.route, r.rows, r.ok) for r in reports], "route string, rows long, ok boolean")
+
+
 def sink_type_drift(spark, sf_dir):
     """A field without a declared type, found with other types in other batches."""
     name = f"workload_{uuid.uuid4().hex}"
@@ -721,6 +738,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "enrich_period": enrich_period,
     "enrich_period_event": enrich_period_event,
     "enrich_tz_shift": enrich_tz_shift,
+    "enrich_tz_dst": enrich_tz_dst,
     "normalise_iso_text": normalise_iso_text_query,
     "split_wide_strided": split_wide_strided,
     "split_wide_contiguous": split_wide_contiguous,
@@ -737,6 +755,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_table": sink_table,
     "sink_connector": sink_connector,
     "sink_report": sink_report,
+    "sink_report_failure": sink_report_failure,
     "sink_type_drift": sink_type_drift,
     "sink_omit_read": sink_omit_read,
     "registry_skip_orphan": registry_skip_orphan,
