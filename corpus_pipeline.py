@@ -23,8 +23,8 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without repeated chunks of lines; ``n_chars`` follows the text."""
-    out = line_dedup(docs).select(*docs.columns)
+    """Documents without repeated chunks of lines and passages; ``n_chars`` follows the text."""
+    out = line_dedup(docs, passages=True).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else out
 
 

@@ -52,6 +52,72 @@ def _with_chunks(rows: DataFrame, divisor: int, long_line: int, bits: int) -> Da
     return rows.withColumn("chunks", F.transform(F.transform("ends", piece), hashed))
 
 
+def _repeated_pairs(texts: DataFrame, bits: int) -> DataFrame:
+    """``id, pairs``: sorted places of the lines that, with the next line, stand earlier as well.
+
+    Earlier is in a document with a smaller id, or before in the same one. Pairs
+    are equal if their bytes are, like chunks.
+    """
+    lines = texts.withColumn("lines", F.split("text", "\n", -1)).where("size(lines) > 1")
+
+    def pair(line: Column, i: Column) -> Column:
+        text = F.concat(line, F.lit("\n"), F.get("lines", i + 1))
+        return F.struct(F.shiftright(F.xxhash64(text), 64 - bits).alias("h"), text.alias("text"), i.alias("at"))
+
+    pairs = F.transform(F.slice("lines", F.lit(1), F.size("lines") - 1), pair)
+    lines = lines.select("id", F.sort_array(pairs).alias("pairs"))
+
+    def marked(c: Column, k: Column) -> Column:
+        before = F.get("pairs", k - 1)
+        again = (k > 0) & F.coalesce((before["h"] == c["h"]) & (before["text"] == c["text"]), F.lit(False))
+        return F.struct(c["h"], c["text"], c["at"], again.alias("again"))
+
+    pairs = lines.select("id", F.explode(F.transform("pairs", marked)).alias("c")).select("id", "c.*")
+    firsts = pairs.where("not again")
+    by_text = firsts.groupBy("h", "text").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    by_hash = written(
+        by_text.groupBy("h")
+        .agg(F.sum("n").alias("n"), F.min("first").alias("first"), F.count("*").alias("texts"))
+        .where("n > 1"),
+        "pairs",
+    )
+    found = firsts.select("id", "h", "at").join(by_hash.where("texts = 1"), "h").where("id <> first").select("id", "at")
+    clash = by_hash.where("texts > 1").select("h")
+    if not clash.isEmpty():
+        again = by_text.where("n > 1").join(clash, "h", "left_semi")
+        found = found.unionByName(firsts.join(again, ["h", "text"]).where("id <> first").select("id", "at"))
+    found = found.unionByName(pairs.where("again").select("id", "at"))
+    return written(found.groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("pairs")), "places")
+
+
+def _without_passages(joined: DataFrame, words: int) -> DataFrame:
+    """Adds ``kept_lines``, from ``lines``, ``ends``, ``gone_chunks`` and ``pairs``.
+
+    A run of lines whose pairs all stand earlier goes if it has so many words or
+    reaches into a removed chunk.
+    """
+    ends = lambda k: F.get("ends", k)
+    begin = lambda k: F.when(k > 0, ends(k - 1)).otherwise(0)
+    places = F.flatten(F.transform("gone_chunks", lambda k: F.sequence(begin(k), ends(k) - 1)))
+    joined = joined.withColumns({
+        "gone_lines": places,
+        "starts": F.filter("pairs", lambda x, k: (k == 0) | (F.get("pairs", k - 1) < x - 1)),
+        "stops": F.filter("pairs", lambda x, k: (k == F.size("pairs") - 1) | (F.get("pairs", k + 1) > x + 1)),
+    })
+    runs = F.zip_with("starts", "stops", lambda a, b: F.sequence(a, b + 1))
+
+    def goes(run: Column) -> Column:
+        count = F.aggregate(run, F.lit(0).cast("long"), lambda n, i: n + word_count(F.get("lines", i)))
+        return F.arrays_overlap(run, "gone_lines") | (count >= words)
+
+    runs = F.flatten(F.filter(runs, goes))
+    joined = joined.withColumn("gone_lines", F.concat("gone_lines", F.coalesce(runs, F.array().cast("array<int>"))))
+    every = F.sequence(F.lit(0), F.size("lines") - 1)
+    return joined.withColumn(
+        "kept_lines", F.transform(F.array_except(every, "gone_lines"), lambda i: F.get("lines", i))
+    )
+
+
 def line_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -59,6 +125,7 @@ def line_dedup(
     divisor: int = DIVISOR,
     long_line: int = LONG_LINE,
     hash_bits: int = 64,
+    passages: bool = False,
 ) -> DataFrame:
     """``docs`` with repeated chunks of lines removed, and two counts.
 
@@ -73,6 +140,12 @@ def line_dedup(
     gathered by hash and text, and a hash that stands for different texts
     leads to a join by text as well.
 
+    Chunks of one short line stay, and so does the chunk that a passage shares with
+    the lines before it. With ``passages``, a run of lines goes as well if each of
+    its adjacent pairs stands earlier, by bytes, and it has ``long_line`` words or
+    reaches into a removed chunk; of every line one copy stays. Counts are of
+    chunks in both cases.
+
     Adds ``n_chunks`` and ``n_removed`` (long) to the columns of ``docs`` and
     replaces the text. A null text stays null and a document whose chunks all
     go keeps an empty text. Rows that repeat an id are one document: each keeps
@@ -85,6 +158,7 @@ def line_dedup(
     number = {c: f"col{i}" for i, c in enumerate(docs.columns)}
     rows = rows.withColumn("id", F.col(number[id_col]))
     texts = rows.where("id is not null").select("id", F.col(number[text_col]).alias("text"))
+    plain = texts
     texts = _with_chunks(texts, divisor, long_line, hash_bits).select("id", "chunks")
     chunks = texts.select("id", F.explode_outer("chunks").alias("c")).where("c.h is not null")
     by_text = (
@@ -128,9 +202,15 @@ def line_dedup(
         "left", F.filter("chunks", lambda c, k: c["h"].isNull() | ~F.coalesce(removed(c, k), F.lit(False)))
     )
     joined = joined.withColumns({"n_left": F.size("left"), "n": F.size("chunks")})
-    text = F.when(F.expr("n_left = n"), F.col("text")).otherwise(
-        F.array_join(F.transform("left", lambda c: c["text"]), "\n")
-    )
+    if passages:
+        indexed = F.transform("chunks", lambda c, k: F.when(c["h"].isNotNull() & F.coalesce(removed(c, k), F.lit(False)), k))
+        joined = joined.withColumn("gone_chunks", F.array_compact(indexed))
+        joined = _without_passages(joined.join(_repeated_pairs(plain, hash_bits), "id", "left"), long_line)
+        text = F.array_join("kept_lines", "\n")
+    else:
+        text = F.when(F.expr("n_left = n"), F.col("text")).otherwise(
+            F.array_join(F.transform("left", lambda c: c["text"]), "\n")
+        )
     kept = [
         (F.when(F.col("text").isNotNull(), text) if c == text_col else F.col(number[c])).alias(c)
         for c in docs.columns

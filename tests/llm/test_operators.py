@@ -122,6 +122,27 @@ def test_line_dedup(docs, bits):
     assert line_dedup(docs, hash_bits=bits).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("bits", [64, 2])
+def test_passages_of_short_lines(spark, bits):
+    rows, want = [], {}
+    for n in range(3, 9):
+        for k in range(4):
+            block = [words(10_000 * n + 100 * k + i, 60 // n + 1) for i in range(n)]
+            own = [[words(500_000 + 1000 * n + 100 * k + 10 * c + i, 6) for i in range(4)] for c in range(2)]
+            for c, (a, b, d, e) in enumerate(own):
+                at = 100 * n + 10 * k + c
+                rows.append((at, "\n".join([a, b, *block, d, e])))
+                want[at] = "\n".join([a, b, d, e]) if c else rows[-1][1]
+    twice = [words(900_000 + i, 12) for i in range(6)]
+    rows += [(2000, "\n".join([*twice, "between", *twice])), (2001, "alone"), (2002, "alone\nshort pair"), (2003, "alone\nshort pair\nx")]
+    want |= {2000: "\n".join([*twice, "between"]), 2001: "alone", 2002: "alone\nshort pair"}
+    rows.append((None, rows[0][1]))
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string"), hash_bits=bits, passages=True).collect()
+    got = {r["doc_id"]: r["text"] for r in out}
+    assert len(out) == len(rows) and got[None] == rows[0][1]
+    assert {i: got[i] for i in want} == want
+
+
 def test_golay_keys():
     tables = simhash.error_tables()
     values = np.random.default_rng(0).integers(0, 1 << 63, 3000).astype(np.uint64)
