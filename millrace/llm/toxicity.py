@@ -22,6 +22,9 @@ STEPS, STEP, RATE, DECAY = 2000, 64, 0.7, 1e-5
 #: Log odds that a sentence is toxic before any word is read, where training begins. Low, so that
 #: many sentences without a sign of toxicity do not add up to a toxic document.
 BIAS = -7.0
+#: Sentences whose chance is counted in full; in longer texts, the odds of each sentence that is
+#: more likely clean shrink, so that these never add up to more than those of so many.
+SENTENCES = 200
 #: A word counts if this many training documents have it.
 LEAST_DOCUMENTS = 5
 #: Bytes of text read at a time.
@@ -67,6 +70,15 @@ def log_none(logits: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0, logits)
 
 
+def log_clean(logits: np.ndarray) -> float:
+    """Log probability that a text has no toxic sentence, from the logits of its sentences.
+
+    A sentence that is more likely toxic than not counts in full in a text of any length.
+    """
+    excess = np.log(max(len(logits), SENTENCES) / SENTENCES)
+    return float(log_none(np.where(logits < 0, logits - excess, logits)).sum())
+
+
 def train(
     texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weigh: np.ndarray, seed: int = 0
 ) -> tuple[np.ndarray, float]:
@@ -120,11 +132,11 @@ class Scorer:
     def __call__(self, text: str | None) -> tuple[float, list[dict]]:
         """Noisy-or of a text's sentences, and the sentences at or above the threshold."""
         data = (text or "").encode()
-        none, found, before, least = 0.0, [], 0, np.log(self.threshold / (1 - self.threshold))
+        every, found, before, least = [np.zeros(0)], [], 0, np.log(self.threshold / (1 - self.threshold))
         for buckets, number, ends in sentences(data):
             pairs = np.unique(number << 18 | buckets)
             there, logits = sentence_logits(pairs & (BUCKETS - 1), pairs >> 18, self.weights, self.bias)
-            none += float(log_none(logits).sum())
+            every.append(logits)
             for i in np.flatnonzero(logits >= least):
                 n = there[i]
                 start = int(ends[n - 1]) + 1 if n else before
@@ -137,7 +149,7 @@ class Scorer:
             size = len(data[start:end].decode(errors="ignore"))
             places.append({"start": chars, "end": chars + size, "score": p})
             at, chars = end, chars + size
-        return float(-np.expm1(none)), places
+        return float(-np.expm1(log_clean(np.concatenate(every)))), places
 
 
 def trained_scorer(
@@ -191,7 +203,8 @@ def toxicity_scores(
 
     Every sentence of the whole text gets the probability that its words make it
     toxic, learned from labels of documents alone, and ``score`` is their
-    noisy-or. ``sentences`` lists start, end (code points, end exclusive) and
+    noisy-or, calibrated for the number of sentences: beyond ``SENTENCES`` of them,
+    those more likely clean than toxic add no more by being many. ``sentences`` lists start, end (code points, end exclusive) and
     score of the sentences at or above ``threshold``. Training reads at most
     ``per_class`` documents of each label, none whose crc32 of the id modulo 5 is
     0 (those are held out); tasks send their words' buckets to the driver, which

@@ -297,6 +297,19 @@ def test_offending_sentences(spark):
         assert [text[s["start"] : s["end"]].strip() for s in r["sentences"]] == ([bad[1]] if "vilewort" in text else [])
 
 
+def test_long_clean_texts(spark):
+    bad = "You are a proper vilewort today!"
+    rows = [(i, f"{words(i, 6)}. {bad if i % 4 == 0 else words(i + 900, 5) + '.'} {words(i + 500, 6)}.") for i in range(400)]
+    marks = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)], "doc_id long, toxic int")
+    clean = [words(5000 + i, 6) + "." for i in range(10_000)]
+    rows += [(1000, " ".join(clean)), (1001, " ".join([*clean[:5000], bad, *clean[5000:]])), (1002, "plain words here. " * 10_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity_scores(df, marks).where("doc_id >= 1000").collect()}
+    assert {i: r["predicted"] for i, r in got.items()} == {1000: 0, 1001: 1, 1002: 0}
+    assert [len(got[i]["sentences"]) for i in (1000, 1001, 1002)] == [0, 1, 0]
+    assert {r["doc_id"] for r in drop_toxic(df, marks).where("doc_id >= 1000").collect()} == {1000, 1002}
+
+
 def test_mixing(docs):
     rows = mix_sources(docs).collect()
     assert len(rows) == len(TEXTS)
