@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import label_bucket
+from millrace.llm.common import label_bucket, written
 from millrace.llm.hashing import word_hashes
 from millrace.llm.labelled import training_sample
 
@@ -84,6 +84,8 @@ def train(
 ) -> tuple[np.ndarray, float]:
     """Weights of words and a bias, from labels of whole documents and their weights.
 
+    A text is the buckets of its words, sentence by sentence, and how many each
+    sentence has; those of words too rare to count are left out, but not sentences.
     A document is toxic if any sentence is: its probability is the noisy-or
     1 - prod(1 - p) of its sentences'. Gradient descent on the log loss of
     documents, each weight with its own rate; the sentence that explains a toxic
@@ -94,19 +96,16 @@ def train(
     random, weights, bias = np.random.default_rng(seed), np.zeros(BUCKETS), 0.0
     if len(set(y.tolist())) < 2:
         return weights, bias
-    documents = np.bincount(np.concatenate([np.unique(b) for b, _ in texts]), minlength=BUCKETS)
-    use = documents >= min(LEAST_DOCUMENTS, len(y))
-    texts = [(b[use[b]], s[use[b]], len(np.unique(s))) for b, s in texts]
     weigh = weigh / weigh.mean()
     bias, grown, bias_grown = BIAS, np.full(BUCKETS, 1e-8), 1e-8
     passes = -(-STEPS * STEP // len(y))
     order = np.concatenate([random.permutation(len(y)) for _ in range(passes)])[: STEPS * STEP]
     for at in range(0, len(order), STEP):
         chosen = order[at : at + STEP]
-        sizes = np.array([texts[i][2] for i in chosen])
+        sizes = np.array([len(texts[i][1]) for i in chosen])
         first = np.cumsum(sizes) - sizes
         words = np.concatenate([texts[i][0] for i in chosen])
-        place = np.concatenate([texts[i][1] + f for i, f in zip(chosen, first)])
+        place = np.concatenate([np.repeat(np.arange(f, f + len(texts[i][1])), texts[i][1]) for i, f in zip(chosen, first)])
         document = np.repeat(np.arange(len(chosen)), sizes)
         logits = bias + np.bincount(place, weights[words], sizes.sum())
         none = np.bincount(document, log_none(logits), len(chosen))
@@ -115,7 +114,7 @@ def train(
         slope = np.where(y[chosen] == 1, -np.minimum(odds, 50), 1.0)
         back = (slope * weigh[chosen])[document] / (1 + np.exp(-logits)) / len(chosen)
         gradient = np.bincount(words, back[place], BUCKETS)
-        gradient[use] += DECAY * weights[use]
+        gradient += DECAY * weights
         grown += gradient**2
         weights = np.maximum(weights - RATE * gradient / np.sqrt(grown), 0)
         bias_grown += back.sum() ** 2
@@ -152,18 +151,13 @@ class Scorer:
         return float(-np.expm1(log_clean(np.concatenate(every)))), places
 
 
-def trained_scorer(
-    docs: DataFrame,
-    labels: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    label: str = "toxic",
-    per_class: int = PER_CLASS,
-    threshold: float = 0.5,
-) -> Scorer:
-    """A scorer learned from at most ``per_class`` labelled documents of each label."""
-    sample = training_sample(docs, labels, label, 5, 0, per_class, id_col, text_col)
-    id_type = docs.schema[id_col].dataType.simpleString()
+def training_words(sample: DataFrame, id_type: str) -> DataFrame:
+    """``id, y, weight, words, sizes`` of the sampled documents that have words.
+
+    ``words`` are 32-bit buckets, each once in a sentence, and ``sizes`` their
+    number in each sentence. Buckets that fewer than ``LEAST_DOCUMENTS`` documents
+    have are counted here and left out, so that the driver never holds them.
+    """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,10 +174,51 @@ def trained_scorer(
                     names=["id", "y", "weight", "words"],
                 )
 
-    rows = sample.mapInArrow(read, f"id {id_type}, y int, weight double, words binary").where("length(words) > 0").collect()
-    rows.sort(key=lambda r: (str(r["id"]), bytes(r["words"])))
-    packed = [np.frombuffer(r["words"], np.int64) for r in rows]
-    texts = [((p & (BUCKETS - 1)).astype(np.int32), (p >> 18).astype(np.int32)) for p in packed]
+    def buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words in batch.column(0):
+                packed = np.frombuffer(words.as_py(), np.int64)
+                buckets = np.unique(packed & (BUCKETS - 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(buckets)], names=["bucket"])
+
+    columns = f"id {id_type}, y int, weight double"
+    texts = written(sample.mapInArrow(read, f"{columns}, words binary").where("length(words) > 0"), "sentences")
+    # one number for each of at most BUCKETS buckets
+    counts = texts.select("words").mapInArrow(buckets_of, "bucket int").groupBy("bucket").count()
+    use = np.zeros(BUCKETS, bool)
+    use[counts.where(F.col("count") >= min(LEAST_DOCUMENTS, texts.count())).select("bucket").toArrow()["bucket"].to_numpy()] = True
+
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                packed = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
+                buckets, number = packed & (BUCKETS - 1), packed >> 18
+                there = use[buckets]
+                sizes = np.bincount(number[there], minlength=int(number[-1]) + 1).astype(np.int32)
+                words = buckets[there].astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).slice(i, 1) for c in range(3)), pa.array([words.tobytes()]), pa.array([sizes.tobytes()])],
+                    names=["id", "y", "weight", "words", "sizes"],
+                )
+
+    return texts.mapInArrow(used, f"{columns}, words binary, sizes binary")
+
+
+def trained_scorer(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label: str = "toxic",
+    per_class: int = PER_CLASS,
+    threshold: float = 0.5,
+) -> Scorer:
+    """A scorer learned from at most ``per_class`` labelled documents of each label."""
+    sample = training_sample(docs, labels, label, 5, 0, per_class, id_col, text_col)
+    id_type = docs.schema[id_col].dataType.simpleString()
+    rows = training_words(sample, id_type).collect()
+    rows.sort(key=lambda r: (str(r["id"]), bytes(r["words"]), bytes(r["sizes"])))
+    texts = [(np.frombuffer(r["words"], np.int32), np.frombuffer(r["sizes"], np.int32)) for r in rows]
     weights, bias = train(
         texts, np.array([r["y"] for r in rows], np.int64), np.array([r["weight"] for r in rows], np.float64)
     )
@@ -207,8 +242,8 @@ def toxicity_scores(
     those more likely clean than toxic add no more by being many. ``sentences`` lists start, end (code points, end exclusive) and
     score of the sentences at or above ``threshold``. Training reads at most
     ``per_class`` documents of each label, none whose crc32 of the id modulo 5 is
-    0 (those are held out); tasks send their words' buckets to the driver, which
-    the sample bounds. Only texts enter a score.
+    0 (those are held out); tasks send the buckets of words that enough documents
+    have to the driver, which the sample bounds. Only texts enter a score.
 
     Null texts, empty ones and such without words have no sentence, and the
     score 0. Rows with a null id are scored and not held out; repeated rows get

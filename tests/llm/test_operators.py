@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from millrace.llm import embedding_dedup, lm_score, mixing, simhash
+from millrace.llm import embedding_dedup, lm_score, mixing, simhash, toxicity
 from millrace.llm.bpe import VOCABULARY, WordBpe, bpe_decode, bpe_encode
 from millrace.llm.components import connected_components
 from millrace.llm.embedding_dedup import embedding_components
@@ -310,6 +310,22 @@ def test_long_clean_texts(spark):
     assert {r["doc_id"] for r in drop_toxic(df, marks).where("doc_id >= 1000").collect()} == {1000, 1002}
 
 
+def test_training_words_leave_rare_ones_out(spark):
+    texts = [f"common{i % 3} rare{i}. Only{i} here{i}! Shared words." for i in range(30)]
+    rows = [(i, t, i % 2, 1.0) for i, t in enumerate([*texts, " . "])]
+    sample = spark.createDataFrame(rows, "id long, text string, y int, weight double")
+    got = toxicity.training_words(sample, "bigint").orderBy("id").collect()
+    pairs = [np.unique(n << 18 | b) for t in texts for b, n, _ in toxicity.sentences(t.encode())]
+    known = collections.Counter(x for p in pairs for x in np.unique(p & (toxicity.BUCKETS - 1)).tolist())
+    assert len(got) == len(texts) and min(known.values()) < toxicity.LEAST_DOCUMENTS
+    for r, p in zip(got, pairs):
+        want = [(x >> 18, x & (toxicity.BUCKETS - 1)) for x in p.tolist()]
+        want = [(n, b) for n, b in want if known[b] >= toxicity.LEAST_DOCUMENTS]
+        sizes = np.frombuffer(r["sizes"], np.int32)
+        number = np.repeat(np.arange(3), sizes).tolist()
+        assert list(zip(number, np.frombuffer(r["words"], np.int32).tolist())) == want
+
+
 def test_mixing(docs):
     rows = mix_sources(docs).collect()
     assert len(rows) == len(TEXTS)
