@@ -15,7 +15,7 @@ from millrace.llm.common import label_bucket, written
 from millrace.llm.hashing import byte_class, mixed, word_hashes
 
 #: Words of the longest n-gram, and the weight of the shorter context (in tokens).
-ORDER, PRIOR = 2, 4.0
+ORDER, PRIOR = 3, 4.0
 #: Bytes of text in a block; blocks are counted and scored one at a time.
 BLOCK = 4 << 20
 #: Blocks whose n-grams meet in one group of a counting task.

@@ -23,6 +23,7 @@ from millrace.llm.line_dedup import line_dedup
 from millrace.llm.lm_score import lm_scores
 from millrace.llm.mixing import mix_sources, mixed_documents
 from millrace.llm.quality import quality_scores
+from millrace.llm.queries import op9_lm_score
 from millrace.llm.secrets import secret_scan, span_text
 from millrace.llm.simhash import fingerprint, one_of_each, simhash_components
 from millrace.llm.toxicity import drop_toxic, toxicity_scores
@@ -417,6 +418,15 @@ def test_lm_scores(docs, order, block):
     assert len(got) == len(want)
 
 
+def test_lm_query_reads_two_words_of_context(spark, tmp_path):
+    rows = [(i, "one same left" if i % 2 else "two same right") for i in range(40)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r["score"] for r in op9_lm_score(spark, str(tmp_path)).collect()}
+    table = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    two, three = ({r["doc_id"]: r["score"] for r in lm_scores(table, order=n).collect()} for n in (2, 3))
+    assert got == three and all(got[i] > two[i] for i in got)
+
+
 def test_one_of_each(docs):
     kept = [r["doc_id"] for r in one_of_each(docs).collect()]
     placed = {r["component_id"] for r in simhash_components(docs).collect()}
