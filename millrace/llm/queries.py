@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.bpe import bpe_encode
+from millrace.llm.conversations import repair_report
 from millrace.llm.embedding_dedup import embedding_components
 from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.line_dedup import line_dedup
@@ -74,6 +75,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(_table(spark, sf_dir, "conversations"))
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -85,6 +90,7 @@ LLM_QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: Lower-casing of A to Z alone.
@@ -163,5 +169,93 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
        doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
 FROM (SELECT doc_id, {_LOWER} AS t FROM documents)
 WINDOW w AS (PARTITION BY t)
+""",
+    "op12_conversation_repair": r"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         encode(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')) AS key
+  FROM conversations),
+coded AS (
+  -- crc32, bit by bit
+  SELECT *, xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(range(octet_length(key)),
+              lambda i: list_transform(range(8), lambda b: (('0x' || substr(hex(key), (2 * i + 1)::INT, 2))::BIGINT >> b::INT) & 1)))),
+            lambda crc, bit: CASE WHEN (xor(crc, bit) & 1) = 1 THEN xor(crc >> 1, 3988292384) ELSE crc >> 1 END), 4294967295) % 20 AS code
+  FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE code WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE WHEN code = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE code <> 0),
+rows AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS pos,
+         row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+         NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS empty,
+         NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') AS unended
+  FROM damaged),
+faults AS (
+  SELECT *, substr(role, 1, 1) AS initial,
+         CASE WHEN empty THEN 'blank' WHEN again THEN 'duplicate' WHEN unended THEN 'truncated' ELSE '' END AS fault
+  FROM rows),
+-- cheapest way into each state, after each row; states: - nothing, s, u, a put out last
+moves(state, ins, upto) AS (
+  VALUES ('-', '', '-'), ('-', 'I', 'u'), ('-', 'II', 'a'), ('s', '', 's'), ('s', 'I', 'u'), ('s', 'II', 'a'),
+         ('u', '', 'u'), ('u', 'I', 'a'), ('a', '', 'a'), ('a', 'I', 'u')),
+edits(upto, letter, initial, state, cost) AS (
+  SELECT upto, 'D', '', upto, 2 FROM (VALUES ('-'), ('s'), ('u'), ('a')) AS t(upto)
+  UNION ALL SELECT * FROM (VALUES ('-', 'R', '', 'u', 1), ('s', 'R', '', 'u', 1), ('u', 'R', '', 'a', 1), ('a', 'R', '', 'u', 1),
+    ('-', 'K', 's', 's', 0), ('-', 'K', 'u', 'u', 0), ('s', 'K', 'u', 'u', 0), ('u', 'K', 'a', 'a', 0), ('a', 'K', 'u', 'u', 0)) AS t(upto, letter, initial, state, cost)),
+steps AS (
+  SELECT m.state AS before, e.state AS after, e.letter, e.initial, m.ins || e.letter AS audit, 5 * length(m.ins) + e.cost AS cost
+  FROM moves m JOIN edits e ON m.upto = e.upto),
+ways AS (
+  SELECT conv_id, 0::BIGINT AS pos, '-' AS state, 0::BIGINT AS cost, '' AS audit
+  FROM (SELECT DISTINCT conv_id FROM faults)
+  UNION ALL
+  SELECT conv_id, pos, state, best.cost, best.audit FROM (
+    SELECT w.conv_id, w.pos + 1 AS pos, s.after AS state,
+           min(struct_pack(cost := w.cost + s.cost + CASE WHEN s.letter <> 'D' AND f.fault = 'truncated' THEN 5 ELSE 0 END,
+                           audit := w.audit || s.audit)) AS best
+    FROM ways w
+    JOIN faults f ON f.conv_id IS NOT DISTINCT FROM w.conv_id AND f.pos = w.pos + 1
+    JOIN steps s ON s.before = w.state AND (s.letter = 'D' OR f.fault NOT IN ('blank', 'duplicate'))
+                AND (s.initial = '' OR s.initial = f.initial)
+    GROUP BY w.conv_id, w.pos, s.after)),
+ends AS (
+  SELECT conv_id, min(struct_pack(cost := cost + 5 * length(closing), audit := audit || closing)) AS best
+  FROM (SELECT w.*, CASE state WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS closing,
+               max(pos) OVER (PARTITION BY conv_id) AS last FROM ways w)
+  WHERE pos = last GROUP BY conv_id),
+letters AS (
+  -- one letter and the row it is for; inserted rows come before theirs
+  SELECT conv_id, i, substr(best.audit, i::INT, 1) AS letter,
+         length(replace(substr(best.audit, 1, i::INT - 1), 'I', '')) + 1 AS pos,
+         best.audit AS audit
+  FROM (SELECT conv_id, best, unnest(range(1, length(best.audit) + 1)) AS i FROM ends)),
+kept AS (
+  SELECT l.conv_id, l.i, CASE WHEN l.letter = 'K' THEN f.role END AS role, CASE WHEN l.letter = 'I' THEN '' ELSE f.text END AS text,
+         l.letter = 'K' AND f.initial = 's' AS system,
+         row_number() OVER (PARTITION BY l.conv_id ORDER BY l.i) AS place
+  FROM letters l LEFT JOIN faults f ON f.conv_id IS NOT DISTINCT FROM l.conv_id AND f.pos = l.pos
+  WHERE l.letter <> 'D'),
+placed AS (
+  SELECT *, place - max(CASE WHEN system THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id) AS number FROM kept),
+texts AS (
+  SELECT conv_id, string_agg(coalesce(role, CASE WHEN number % 2 = 1 THEN 'user' ELSE 'assistant' END) || ':' || text, chr(10) ORDER BY i) AS whole
+  FROM placed GROUP BY conv_id),
+neighbours AS (
+  SELECT conv_id, initial, lag(initial) OVER (PARTITION BY conv_id ORDER BY pos) AS last, pos, turn, fault FROM faults),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (pos > 1 AND (last || initial) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM neighbours GROUP BY conv_id)
+SELECT c.conv_id, coalesce(n.gaps, 0)::BIGINT AS gaps, coalesce(n.blank, 0)::BIGINT AS blank, coalesce(n.duplicate, 0)::BIGINT AS duplicate,
+       coalesce(n.truncated, 0)::BIGINT AS truncated, coalesce(n.illegal, 0)::BIGINT AS illegal,
+       coalesce(e.best.cost, 0)::BIGINT AS cost, coalesce(e.best.audit, '') AS audit, sha256(coalesce(t.whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) c
+LEFT JOIN counts n ON n.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN ends e ON e.conv_id IS NOT DISTINCT FROM c.conv_id
+LEFT JOIN texts t ON t.conv_id IS NOT DISTINCT FROM c.conv_id
 """,
 }
