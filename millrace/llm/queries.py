@@ -12,6 +12,7 @@ from millrace.llm.exact_dedup import exact_dedup
 from millrace.llm.line_dedup import line_dedup
 from millrace.llm.lm_score import lm_scores
 from millrace.llm.mixing import mix_sources
+from millrace.llm.packing import pack_documents
 from millrace.llm.quality import quality_scores
 from millrace.llm.secrets import MODEL_KIND, secret_scan, span_text
 from millrace.llm.simhash import simhash_components
@@ -79,6 +80,11 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(_table(spark, sf_dir, "conversations"))
 
 
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    packed = pack_documents(_table(spark, sf_dir, "documents"))
+    return packed.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
 LLM_QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
@@ -91,6 +97,7 @@ LLM_QUERIES = {
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 #: Lower-casing of A to Z alone.
