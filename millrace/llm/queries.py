@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.llm.alignment import align_tokens
 from millrace.llm.bpe import bpe_encode
 from millrace.llm.conversations import repair_report
 from millrace.llm.embedding_dedup import embedding_components
@@ -76,6 +77,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_report(_table(spark, sf_dir, "conversations"))
 
@@ -96,6 +101,7 @@ LLM_QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_lm_score": op9_lm_score,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_token_alignment": op11_token_alignment,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_best_fit_packing": op13_best_fit_packing,
 }
