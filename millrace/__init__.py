@@ -11,7 +11,7 @@ from millrace.sources.registry import (
     registry_from_frames,
     registry_from_tables,
 )
-from millrace.streaming.runner import RouteReport, run_stream, write_batch
+from millrace.streaming.runner import RouteReport, run_skipped, run_stream, write_batch
 from millrace.streaming.sinks import ConnectorSink, FileSink, TableSink
 
 __all__ = [
@@ -29,6 +29,7 @@ __all__ = [
     "registry_from_frames",
     "registry_from_tables",
     "run_batch",
+    "run_skipped",
     "run_stream",
     "write_batch",
 ]

@@ -22,6 +22,7 @@ _CHOICES = {
     "on_error": ("fail", "skip"),
     "reuse": ("persist", "stage", "none"),
     "untyped": ("text", "found"),
+    "count": ("observe", "first"),
 }
 
 
@@ -34,6 +35,10 @@ class PipelineConfig:
     differ from batch to batch; ``untyped="text"`` writes columns without a type of
     their own as text, ``"found"`` as they are.
     ``payload_column=None`` routes whole messages instead of one payload column.
+    ``count="observe"`` counts the rows of a route while they are written; ``"first"``
+    counts all routes in a job of their own, so that routes without rows, if there
+    are many of them, cost no write. ``corrupt_target`` names a target ``db.table`` for messages
+    that cannot be read.
     """
 
     identifier: str
@@ -58,7 +63,10 @@ class PipelineConfig:
     split_layout: str = "contiguous"
     split_rest: str | None = REST
 
+    corrupt_target: str | None = None
+
     on_error: str = "fail"
+    count: str = "observe"
     reuse: str = "persist"
     route_threads: int = 4
 
@@ -70,5 +78,7 @@ class PipelineConfig:
             raise ValueError("split_column needs split_capacity and split_names")
         if self.split_capacity is not None and self.split_capacity < 2:
             raise ValueError("split_capacity must be 2 or more")
+        if self.corrupt_target is not None and self.corrupt_target.count(".") != 1:
+            raise ValueError("corrupt_target must be db.table")
         if self.route_threads < 1:
             raise ValueError("route_threads must be positive")

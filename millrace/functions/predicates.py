@@ -14,16 +14,15 @@ The condition itself is parsed by Spark; here only ``path[i]`` is rewritten to
 from __future__ import annotations
 
 import re
-import threading
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.config import MESSAGE_VIEW
 from millrace.functions.paths import has_path, parse_path, path_column, quote
+from millrace.sources.sessions import analysed_with
 
 _NAME = r"(?:`(?:[^`]|``)+`|[^\W\d]\w*)"
 _PATH = rf"{_NAME}(?:\[\d+\])*(?:\.{_NAME}(?:\[\d+\])*)*"
@@ -40,6 +39,7 @@ _MORE_THAN_CONDITION = re.compile(
 _VIEW_NAME = re.compile(rf"^`?{MESSAGE_VIEW}`?", re.I)
 _VIEW_PREFIX = re.compile(rf"^`?{MESSAGE_VIEW}`?\.", re.I)
 _SELECT = re.compile(r"^\s*(?:SELECT|WITH)\b", re.I)
+_EQUALITY = re.compile(rf"^\s*(?P<path>{_PATH})\s*=\s*'(?P<text>[^'\\]*)'\s*$")
 _PAIR_PATH = re.compile(r"^[^\s&=<>()']+$")
 
 # Words of a condition that are never field names.
@@ -139,22 +139,18 @@ def predicate_column(text: str, schema: T.StructType) -> Column | None:
     return None if condition is None else F.expr(condition)
 
 
-_ANALYSIS = threading.RLock()
+def leniently(df: DataFrame, build: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """What ``build`` makes of ``df``, analysed with ANSI mode off.
 
+    So a comparison with unreadable text is null for that message instead of an
+    error for the whole batch. The mode of the caller's session never changes.
+    """
+    if df.sparkSession.conf.get("spark.sql.ansi.enabled") == "false":
+        return build(df)
+    return analysed_with(df, {"spark.sql.ansi.enabled": "false"}, build)
 
-@contextmanager
-def lenient(spark: SparkSession) -> Iterator[None]:
-    """Analyse with ANSI mode off, so that a comparison with unreadable text is
-    null for that message instead of an error for the whole batch.
 
-    Only building a DataFrame belongs in here, no action. The mode is a session
-    setting, so one thread at a time may be inside.
-    """
-    key = "spark.sql.ansi.enabled"
-    with _ANALYSIS:
-        before = spark.conf.get(key)
-        spark.conf.set(key, "false")
-        try:
-            yield
-        finally:
-            spark.conf.set(key, before)
+def equality(condition: str) -> tuple[str, str] | None:
+    """Path and text of a condition that is a plain ``path = 'text'``."""
+    found = _EQUALITY.match(condition)
+    return (_VIEW_PREFIX.sub("", found["path"]), found["text"]) if found else None

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.paths import quote
+from millrace.sources.sessions import run_with
+
 # The text prefix allowed before the opening brace.
 PREFIX_PATTERN = r"^[a-zA-Z0-9:\t]+\{"
 PREFIX_REPLACEMENT = "{"
@@ -20,6 +21,11 @@ PREFIX_REPLACEMENT = "{"
 _EMPTY_TEXT = r"""([:,\[]\s*)(?:""|'')(?=\s*[,\]}])"""
 _ZERO_FRACTION = r"([0-9])\.0+(?=\s*[,\]}])"
 
+_UNREAD, _CORRUPT = "_unread", "_corrupt"
+
+# VARIANT values that repeat a key, as JSON readers take them.
+_REPEATED_KEYS = {"spark.sql.variant.allowDuplicateKeys": "true"}
+
 log = logging.getLogger("millrace")
 
 # What may stand before a JSON text: white space and a byte order mark.
@@ -75,10 +81,11 @@ def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     zeros = text.contains(".0")
     text = F.when(zeros, F.regexp_replace(text, _ZERO_FRACTION, "$1.5")).otherwise(text)
     variant = F.from_json(text, T.VariantType())
-    with _repeated_keys_allowed(df.sparkSession):
-        found = objects.agg(
-            F.schema_of_variant_agg(variant).alias("merged"), F.count_if(variant.isNull()).alias("unread")
-        ).first()
+    # a step of its own, so that both aggregates read one parsed value
+    values = run_with(objects.select(column), _REPEATED_KEYS).select(variant.alias("_value"))
+    found = values.agg(
+        F.schema_of_variant_agg("_value").alias("merged"), F.count_if(F.col("_value").isNull()).alias("unread")
+    ).first()
     merged = found["merged"]
     if found["unread"]:
         log.warning("%d messages are no valid JSON objects and add no fields", found["unread"])
@@ -88,18 +95,6 @@ def infer_message_schema(df: DataFrame, column: str = "value") -> T.StructType:
     return _settle(T.DataType.fromDDL(ddl)) or T.StructType()
 
 
-@contextmanager
-def _repeated_keys_allowed(spark: SparkSession) -> Iterator[None]:
-    """Let VARIANT values repeat a key while one job runs, as JSON readers do."""
-    key = "spark.sql.variant.allowDuplicateKeys"
-    before = spark.conf.get(key, None)
-    spark.conf.set(key, "true")
-    try:
-        yield
-    finally:
-        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
-
-
 def _settle(found: T.DataType) -> T.DataType | None:
     """Type used for parsing in place of one found by the variant aggregate."""
     if isinstance(found, T.StructType):
@@ -117,15 +112,52 @@ def _settle(found: T.DataType) -> T.DataType | None:
 
 
 def parse_messages(
-    df: DataFrame, schema: str | T.StructType, column: str = "value"
+    df: DataFrame, schema: str | T.StructType, column: str = "value", corrupt: str | None = None
 ) -> DataFrame:
     """Parse JSON text and put the message fields in place of the text column.
 
-    A malformed message keeps its row with every field null.
+    A malformed message keeps its row with every field null. ``corrupt`` names a
+    column to add: the text and the reason for a message that cannot be read as a
+    whole, null for others.
+    """
+    kept = [quote(c) for c in df.columns if c != column]
+    if corrupt is None:
+        parsed = df.select(*kept, F.from_json(F.col(column), schema).alias("_message"))
+        return parsed.select("_message.*", *kept)
+    fields = T.DataType.fromDDL(schema) if isinstance(schema, str) else schema
+    with_text = T.StructType([*fields.fields, T.StructField(_UNREAD, T.StringType())])
+    parse = F.from_json(F.col(column), with_text, {"columnNameOfCorruptRecord": _UNREAD})
+    parsed = df.select(*kept, F.col(column).alias("_text"), parse.alias("_message"))
+    reason = _unread_reason(F.col("_text"), F.col(f"_message.{_UNREAD}"))
+    record = F.when(reason.isNotNull(), F.struct(F.col("_text").alias("value"), reason.alias("reason")))
+    return parsed.select(
+        *[F.col(f"_message.{quote(f.name)}") for f in fields.fields], *kept, record.alias(corrupt)
+    )
+
+
+def _unread_reason(text: Column, unread: Column) -> Column:
+    """Why a message cannot be read as a whole; null if it can."""
+    return (
+        F.when(text.isNull(), F.lit("no text"))
+        .when(_bare(text) == "", F.lit("blank"))
+        .when(~_bare(text).startswith("{"), F.lit("not an object"))
+        .when(unread.isNotNull() & F.try_parse_json(text).isNull(), F.lit("malformed"))
+        .when(unread.isNotNull(), F.lit("a field of another type"))
+    )
+
+
+def corrupt_messages(
+    df: DataFrame, schema: str | T.StructType, column: str = "value", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """``value, reason`` of the messages that cannot be read as a whole with ``schema``.
+
+    Reasons: ``no text`` (null), ``blank``, ``not an object``, ``malformed`` (no
+    JSON, or a key repeated in it beside another fault), ``a field of another
+    type``. Such messages pass the other steps too, with null for what cannot be read.
     """
-    kept = [c for c in df.columns if c != column]
-    parsed = df.select(*kept, F.from_json(F.col(column), schema).alias("_message"))
-    return parsed.select("_message.*", *kept)
+    marked = parse_messages(df, schema, column, _CORRUPT)
+    rows = marked.select(F.explode_outer(F.array(_CORRUPT)).alias(_CORRUPT), *keep)
+    return rows.where(F.col(_CORRUPT).isNotNull()).select(f"{_CORRUPT}.value", f"{_CORRUPT}.reason", *keep)
 
 
 def payload_gate(df: DataFrame, payload_column: str, keep: tuple[str, ...] = ()) -> DataFrame | None:

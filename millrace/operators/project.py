@@ -46,7 +46,7 @@ def project_fields(
     known = df.schema if known is None else known
     chosen = list(fields) if missing == "null" else present_fields(known, fields)
     columns = [
-        _column(known, field, cast, extended).alias(field.name) for field in chosen
+        field_column(known, field, extended, cast).alias(field.name) for field in chosen
     ]
     return df.select(*columns, *keep)
 
@@ -74,7 +74,10 @@ def as_text(df: DataFrame, names: Sequence[str]) -> DataFrame:
     return df.select(*[text(field) for field in df.schema.fields])
 
 
-def _column(known: T.StructType, field: FieldPlan, cast: bool, extended: bool) -> Column:
+def field_column(
+    known: T.StructType, field: FieldPlan, extended: bool = False, cast: bool = True
+) -> Column:
+    """Value of one field, cast by its type name; a typed null if ``known`` lacks its path."""
     source = path_type(known, field.path)
     if source is None:
         return F.lit(None).cast(target_type(field.type, extended) or T.StringType())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -50,7 +50,38 @@ def kafka_messages(
     Needs Spark's Kafka package on the classpath.
     """
     reader = spark.readStream if stream else spark.read
-    return text_values(reader.format("kafka").options(**options).load(), keep=["timestamp"])
+    return record_messages(reader.format("kafka").options(**options).load(), keep=("timestamp",))
+
+
+def record_messages(
+    records: DataFrame, keep: Sequence[str] = (), tombstones: str = "drop"
+) -> DataFrame:
+    """Messages of broker records (``key, value, topic, partition, offset, timestamp``, ...).
+
+    ``value`` is the record's value as text; ``keep`` names columns to pass on, of which ``key``
+    becomes text and ``headers`` a map of texts, the last of a repeated header winning. A record without a value says that its key
+    is gone and is no message: ``"drop"`` leaves it out, ``"keep"`` gives it as a null message. A
+    value of no bytes is a blank message. Bytes that are no UTF-8 become replacement characters.
+    """
+    if tombstones not in ("drop", "keep"):
+        raise ValueError(f"tombstones must be drop or keep, not {tombstones!r}")
+    if tombstones == "drop":
+        records = records.where(F.col("value").isNotNull())
+    pair = lambda h: F.struct(h["key"], _text(h["value"]))
+    last = lambda h, i: ~F.exists(F.slice("headers", i + 2, F.size("headers")), lambda x: x["key"] == h["key"])
+    shown = {
+        "key": _text(F.col("key")),
+        "headers": F.map_from_entries(F.transform(F.filter("headers", last), pair)),
+    }
+    return records.select(
+        _text(F.col("value")).alias("value"),
+        *[(shown[c] if c in shown else F.col(c)).alias(c) for c in keep],
+    )
+
+
+def _text(data: Column) -> Column:
+    """Bytes as text, with replacement characters for what is no UTF-8."""
+    return F.make_valid_utf8(data.cast("string"))
 
 
 def text_messages(

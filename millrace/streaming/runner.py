@@ -3,23 +3,25 @@
 from __future__ import annotations
 
 import logging
+import threading
 import time
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.config import PipelineConfig
 from millrace.functions.paths import quote
-from millrace.operators.project import as_text, untyped_fields
+from millrace.operators.project import FieldPlan, as_text, untyped_fields
 from millrace.operators.route import is_filter
-from millrace.plans.pipeline import CLOCK, Routed, _plans, route_messages
+from millrace.plans.pipeline import CLOCK, CORRUPT, Routed, _plans, route_messages
 from millrace.plans.registry import RoutePlan
 from millrace.sources.registry import Registry
+from millrace.streaming.recovery import SkippedBatch, forget_skipped, record_skipped, skipped_batches
 from millrace.streaming.sinks import Sink
 
 log = logging.getLogger("millrace")
@@ -39,6 +41,9 @@ class RouteReport:
 # Route name in the report of a batch that failed before any route was tried.
 ALL_ROUTES = "*"
 
+#: Seconds to wait for the metrics of a job that has ended.
+METRIC_SECONDS = 30
+
 Reporter = Callable[[list[RouteReport]], None]
 
 
@@ -60,12 +65,14 @@ def write_batch(
     replay: bool = False,
     on_report: Reporter | None = None,
 ) -> list[RouteReport]:
-    """Write every route of a batch: one parse, one count job, one write per route.
+    """Write every route of a batch: one parse, one write per route, which counts its rows.
 
     Without a ``batch_id`` rows are appended; with one, sinks that can replace
-    what the same batch wrote before do so. Routes without rows are not written,
+    what the same batch wrote before do so. A route without rows leaves nothing behind,
     unless the batch may be a ``replay`` and has to replace what an earlier try
-    left behind.
+    left. With ``config.count="first"`` all routes are counted in one job before, and
+    those without rows are not tried. Messages that cannot be read go to
+    ``config.corrupt_target``, if it is set, and are reported as the route ``_corrupt``.
 
     Different targets are written at the same time from a few driver threads,
     the routes of one target one after the other, since two jobs must not commit
@@ -84,11 +91,12 @@ def write_batch(
     else:
         held = routed.hold()
         try:
-            counts = held.counts()
-            log.info("batch %s: %s", batch_id, counts)
+            counts = held.counts() if config.count == "first" and routed.plans else None
+            log.info("batch %s: %s", batch_id, counts or "counted while written")
             # The time of the query or of the micro-batch is a single day.
             targets: dict[str, list[RoutePlan]] = {}
-            for plan in plans:
+            tried = [*routed.plans, *([corrupt_plan(config)] if config.corrupt_target else [])]
+            for plan in tried:
                 targets.setdefault(plan.target.lower(), []).append(plan)
 
             def write_target(same_target: list[RoutePlan]) -> list[RouteReport]:
@@ -100,7 +108,8 @@ def write_batch(
             write = inheritable_thread_target(df.sparkSession)(write_target)
             with ThreadPoolExecutor(max(1, min(config.route_threads, len(targets)))) as pool:
                 done = [r for part in pool.map(write, targets.values()) for r in part]
-            order = {plan.route_id: place for place, plan in enumerate(plans)}
+            order = {plan.route_id: place for place, plan in enumerate(tried)}
+            log.info("batch %s: %s", batch_id, {r.route: r.rows for r in done})
             reports = sorted(done, key=lambda report: order[report.route])
         finally:
             held.release()
@@ -111,31 +120,57 @@ def write_batch(
     return reports
 
 
+def corrupt_plan(config: PipelineConfig) -> RoutePlan:
+    """Where messages that cannot be read are written."""
+    db, table = config.corrupt_target.split(".")
+    return RoutePlan(CORRUPT, "", "", db, table, (FieldPlan("value", "value", "String"), FieldPlan("reason", "reason", "String")))
+
+
 def _write_route(
     held: Routed,
     plan: RoutePlan,
-    counts: dict[str, int],
+    counts: dict[str, int] | None,
     sink: Sink,
     batch_id: int | str | None,
     replay: bool,
 ) -> RouteReport:
     rows = 0
     try:
-        if is_filter(plan.predicate) and plan.route_id not in held.errors:
-            rows = counts[plan.route_id]
+        if plan.route_id == CORRUPT:
+            out = held.corrupt()
         else:
-            rows = held.messages(plan).count()
-        if rows or replay:
-            # Rows of a day come together, so that tasks do not write a file per day
-            # each; Spark splits a hot day and joins small ones.
             out = _stable(held.rows(plan), plan, held.config)
-            sink.write(out.hint("rebalance", held.config.period_column), plan, batch_id, replay)
-        return RouteReport(batch_id, plan.route_id, rows, True)
+            if counts is not None and is_filter(plan.predicate):
+                rows = counts[plan.route_id]
+                if not rows and not replay:
+                    return RouteReport(batch_id, plan.route_id, 0, True)
+        # Rows of a day come together, so that tasks do not write a file per day
+        # each; Spark splits a hot day and joins small ones.
+        counter = Observation()
+        out = out.hint("rebalance", held.config.period_column).observe(counter, F.count(F.lit(1)).alias("rows"))
+        sink.write(out, plan, batch_id, replay)
+        return RouteReport(batch_id, plan.route_id, _observed(counter, out), True)
     except Exception as problem:
         log.exception("batch %s, route %s failed", batch_id, plan.route_id)
         return RouteReport(batch_id, plan.route_id, rows, False, str(problem))
 
 
+def _observed(counter: Observation, rows: DataFrame) -> int:
+    """Rows counted by the job that a sink ran; counted anew if it ran none."""
+    found: list[int] = []
+
+    def wait() -> None:
+        try:
+            found.append(counter.get["rows"])
+        except Exception:  # a sink whose first job left the rows out
+            log.debug("no metrics", exc_info=True)
+
+    waiting = threading.Thread(target=wait, daemon=True)
+    waiting.start()
+    waiting.join(METRIC_SECONDS)
+    return found[0] if found else rows.count()
+
+
 def _stable(rows: DataFrame, plan: RoutePlan, config: PipelineConfig) -> DataFrame:
     """Rows whose column types do not depend on what a batch happens to hold."""
     if config.message_schema is not None or config.untyped == "found":
@@ -161,7 +196,9 @@ def run_stream(
     The ingest time is taken in the streaming plan: Spark stores it with the
     offsets of the batch, so a replay sees the same time. ``clock`` names a
     column to use instead, such as the broker's timestamp of a message. Offsets
-    are committed only after all routes of a batch are written.
+    are committed only after all routes of a batch are written. With
+    ``on_error="skip"`` a batch or route that failed leaves a record beside the
+    checkpoint, and ``run_skipped`` runs it again.
     """
     plans = _plans(registry, config)
     time_column = CLOCK if clock is None else clock
@@ -178,13 +215,18 @@ def run_stream(
         # Only the first batch after a start can have been tried before.
         replay = not started
         try:
-            write_batch(batch, plans, config, sink, time_column, batch_id, replay, on_report)
+            reports = write_batch(batch, plans, config, sink, time_column, batch_id, replay, on_report)
         except Exception as problem:
             if config.on_error == "fail":
                 raise
             log.exception("batch %s skipped", batch_id)
+            reports = [RouteReport(batch_id, ALL_ROUTES, 0, False, str(problem))]
             if on_report is not None:
-                on_report([RouteReport(batch_id, ALL_ROUTES, 0, False, str(problem))])
+                on_report(reports)
+        failed = {r.route: r.error or "" for r in reports if not r.ok}
+        if failed:
+            # Kept with the checkpoint before the offsets are committed.
+            record_skipped(batch.sparkSession, checkpoint, number, batch_id, failed)
         if replay:
             started.append(batch_id)
 
@@ -196,3 +238,36 @@ def run_stream(
     elif trigger_ms is not None:
         writer = writer.trigger(processingTime=f"{trigger_ms} milliseconds")
     return writer.start()
+
+
+def run_skipped(
+    spark: SparkSession,
+    checkpoint: str,
+    read: Callable[[SkippedBatch], DataFrame],
+    registry: Registry | Sequence[RoutePlan],
+    config: PipelineConfig,
+    sink: Sink,
+    on_report: Reporter | None = None,
+    clock: str | None = None,
+) -> list[RouteReport]:
+    """Run the batches and routes again that a stream has skipped, and only those.
+
+    ``read`` gives the messages of a skipped batch, e.g. ``file_batch`` or ``kafka_batch``. They get the ingest
+    time they had and are written under the name of their batch, in place of
+    what the first try left. A batch all of whose routes are written now loses its
+    record; others keep it.
+    """
+    plans, every = _plans(registry, config), []
+    for skipped in skipped_batches(spark, checkpoint):
+        chosen = [p for p in plans if ALL_ROUTES in skipped.failed or p.route_id in skipped.failed]
+        wanted = replace(config, on_error="skip")
+        if CORRUPT not in skipped.failed and ALL_ROUTES not in skipped.failed:
+            wanted = replace(wanted, corrupt_target=None)
+        messages = read(skipped)
+        if clock is None:
+            messages = messages.select("value", F.timestamp_millis(F.lit(skipped.time_ms)).alias(CLOCK))
+        reports = write_batch(messages, chosen, wanted, sink, clock or CLOCK, skipped.batch_id, True, on_report)
+        every += reports
+        if all(r.ok for r in reports):
+            forget_skipped(spark, checkpoint, skipped)
+    return every

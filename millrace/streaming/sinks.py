@@ -7,12 +7,15 @@ that this may be such a case.
 
 from __future__ import annotations
 
+import json
+import time
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property, reduce
 from typing import Protocol
+from urllib.parse import quote as urlquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,22 +24,35 @@ from millrace.config import PERIOD_COLUMN
 from millrace.functions.paths import quote
 from millrace.operators.project import untyped_fields
 from millrace.plans.registry import RoutePlan, target_name
+from millrace.sources.shared_files import SharedFiles
 
 
 class Sink(Protocol):
+    """A target. ``write`` runs the rows in one job, which also counts them."""
+
     def write(
         self, rows: DataFrame, plan: RoutePlan, batch_id: int | str | None, replay: bool = False
     ) -> None: ...
 
 
+MANIFEST, STAGING = "_manifest", "_staging"
+#: Commit records from which on they are read by a Spark job instead of one by one.
+MANY_RECORDS = 64
+
+
 @dataclass(frozen=True)
 class FileSink:
-    """Files under ``<root>/<db>/<table>``, in one folder per day key.
+    """Files under ``<root>/<db>/<table>``, in one folder per day key, with a record of commits.
+
+    A batch and route first write to a staging folder. Its files then move into the folders of
+    their days, and one small record in ``_manifest`` names them; writing that record is the
+    commit. ``read`` takes only files that a record names, so what a failed try left behind is
+    never seen, and the record of a replayed batch takes the place of the one before, whatever
+    days its rows fall on now. Writers share no folder that either of them commits to. A batch
+    job without an id gets a new one and so appends.
 
-    Below the day every batch and route have a folder of their own, so writers
-    do not get in each other's way. It is overwritten when a streamed batch comes
-    again; folders of other days that an earlier try left are emptied first. A
-    batch job without an id gets a new one and so appends.
+    ``compact`` rewrites days that get no more rows into fewer files and swaps them in by one
+    record, while streams write and others read. ``clean`` removes files that no record names.
     """
 
     root: str
@@ -52,37 +68,202 @@ class FileSink:
     ) -> None:
         if batch_id is None:
             batch_id = f"batch_{uuid.uuid4().hex}"
-        elif replay:
-            self._clear(rows, plan, batch_id)
-        writer = _marked(rows, plan, batch_id).write.format(self.format).options(**self.options)
-        writer = writer.partitionBy(self.period_column, "batch_id", "route")
-        writer = writer.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.save(self.path(plan))
-
-    def _clear(self, rows: DataFrame, plan: RoutePlan, batch_id: int | str) -> None:
-        """Empty what an earlier try of a batch wrote; runs once per stream start."""
-        spark = rows.sparkSession
-        reader = spark.read.format(self.format).options(**self.options)
-        try:
-            schema = _marked(rows, plan, batch_id).schema
-            stored = reader.schema(schema).load(self.path(plan))
-        except AnalysisException:
-            return  # the table does not exist yet
-        own = (F.col("batch_id") == str(batch_id)) & (F.col("route") == plan.route_id)
-        nothing = spark.createDataFrame([], rows.drop(self.period_column).schema)
-        for row in stored.filter(own).select(self.period_column).distinct().collect():
-            day = "__HIVE_DEFAULT_PARTITION__" if row[0] is None else row[0]
-            folder = f"{self.period_column}={day}/batch_id={batch_id}/route={plan.route_id}"
-            writer = nothing.write.mode("overwrite").option("partitionOverwriteMode", "static")
-            writer.format(self.format).options(**self.options).save(f"{self.path(plan)}/{folder}")
+        spark, table = rows.sparkSession, self.path(plan)
+        marked = _marked(rows, plan, batch_id)
+        files = SharedFiles(spark, self.root)
+        write_id, placed = self._place(marked, plan, files)
+        record = {
+            "batch_id": str(batch_id),
+            "route": plan.route_id,
+            "write_id": write_id,
+            "files": placed,
+            "schema": marked.schema.json(),
+        }
+        if placed or replay and files.exists(f"{table}/{MANIFEST}"):
+            name = f"{urlquote(str(batch_id), safe='')}~{urlquote(plan.route_id, safe='')}"
+            self._commit(files, plan, name, record)
+
+    def _place(self, rows: DataFrame, plan: RoutePlan, files: SharedFiles) -> tuple[str, list[str]]:
+        """Write rows and move their files into the folders of their days."""
+        write_id, table = uuid.uuid4().hex, self.path(plan)
+        staging = f"{self.root}/{STAGING}/{write_id}"
+        writer = rows.write.format(self.format).options(**self.options)
+        writer.partitionBy(self.period_column).save(staging)
+        placed = []
+        for name, _, _ in files.list(staging, below=True):
+            day, _, part = name.rpartition("/")
+            files.make_folder(f"{table}/{day}")
+            placed.append(f"{day}/{write_id}-{part}")
+            files.move(f"{staging}/{name}", f"{table}/{placed[-1]}")
+        files.remove(staging, below=True)
+        return write_id, placed
+
+    def _commit(
+        self, files: SharedFiles, plan: RoutePlan, name: str, record: Mapping, replace: bool = True
+    ) -> None:
+        folder = f"{self.path(plan)}/{MANIFEST}"
+        files.make_folder(folder)
+        files.write(f"{folder}/{name}.json", json.dumps(record), replace)
+
+    def _records(self, spark: SparkSession, plan: RoutePlan) -> "Records":
+        files, folder = SharedFiles(spark, self.root), f"{self.path(plan)}/{MANIFEST}"
+        names = [name for name, _, _ in files.list(folder)]
+        if len(names) > MANY_RECORDS:
+            # a record is one line
+            texts = [r[0] for r in spark.read.text([f"{folder}/{name}" for name in names]).collect()]
+        else:
+            texts = [files.read(f"{folder}/{name}") for name in names]
+        return Records.of(map(json.loads, texts))
 
     def read(
         self, spark: SparkSession, plan: RoutePlan, merge_schema: bool = True
     ) -> DataFrame:
-        """All rows of a target, with the columns of all its batches. A caller who
-        knows that every batch has the same ones can spare opening every file."""
-        reader = spark.read.format(self.format).option("mergeSchema", merge_schema)
-        return reader.load(self.path(plan))
+        """All committed rows of a target, with the columns of all its batches.
+
+        The columns are those that the records state, so no file is opened to find
+        them. Without ``merge_schema`` they are those of any one batch.
+        """
+        records = self._records(spark, plan)
+        if not records.commits and not records.compactions:
+            raise ValueError(f"nothing has been committed to {self.path(plan)}")
+        schema = records.schema(merge_schema)
+        parts = [self._load(spark, plan, schema, records.live())]
+        for compaction in records.compactions:
+            kept = self._load(spark, plan, schema, records.still(compaction))
+            for batch_id, route in records.superseded(compaction):
+                kept = kept.where(~((F.col("batch_id") == batch_id) & (F.col("route") == route)))
+            parts.append(kept)
+        return reduce(DataFrame.unionByName, [part for part in parts[1:] if part is not None], parts[0])
+
+    def _load(self, spark: SparkSession, plan: RoutePlan, schema: T.StructType, names: Sequence[str]) -> DataFrame:
+        reader = spark.read.format(self.format).options(**self.options).schema(schema)
+        if not names:
+            return spark.createDataFrame([], schema)
+        table = self.path(plan)
+        return reader.option("basePath", table).load([f"{table}/{name}" for name in names])
+
+    def compact(self, spark: SparkSession, plan: RoutePlan, before: int, least_files: int = 2) -> int:
+        """Rewrite days with a key less than ``before`` that have ``least_files`` files or more.
+
+        Returns the number of files that were replaced. The newest batch of each stream may
+        come again and is left alone. Rows are the same before, during and after: the old files
+        stay until ``clean``, and one record swaps the new ones in. If two compactions of a target
+        meet, the second fails and changes nothing.
+        """
+        records = self._records(spark, plan)
+        held = records.newest()
+        days: dict[str, list[str]] = {}
+        batches: dict[tuple[str, str], str] = {}
+        for commit in records.commits:
+            for name in records.left(commit):
+                if (commit["batch_id"], commit["route"]) not in held and self._closed(name, before):
+                    days.setdefault(name.partition("/")[0], []).append(name)
+        for compaction in records.compactions:
+            # what supersedes rows of compacted files is resolved by the next compaction
+            for name in records.still(compaction):
+                if self._closed(name, before):
+                    days.setdefault(name.partition("/")[0], []).append(name)
+        chosen = {name for names in days.values() if len(names) >= least_files for name in names}
+        if not chosen:
+            return 0
+        schema = records.schema(True)
+        parts = []
+        for commit in records.commits:
+            names = [name for name in records.left(commit) if name in chosen]
+            if names:
+                parts += names
+                batches[commit["batch_id"], commit["route"]] = commit["write_id"]
+        rows = self._load(spark, plan, schema, parts)
+        for compaction in records.compactions:
+            names = [name for name in records.still(compaction) if name in chosen]
+            if names:
+                kept, gone = self._load(spark, plan, schema, names), set(records.superseded(compaction))
+                for batch_id, route in gone:
+                    kept = kept.where(~((F.col("batch_id") == batch_id) & (F.col("route") == route)))
+                rows = rows.unionByName(kept)
+                for batch_id, route, write_id in compaction["batches"]:
+                    if (batch_id, route) not in gone:
+                        batches.setdefault((batch_id, route), write_id)
+        files = SharedFiles(spark, self.root)
+        write_id, placed = self._place(rows.hint("rebalance", self.period_column), plan, files)
+        record = {
+            "write_id": write_id,
+            "files": placed,
+            "replaces": sorted(chosen),
+            "batches": [[*key, value] for key, value in sorted(batches.items())],
+            "schema": schema.json(),
+        }
+        self._commit(files, plan, f"compaction-{len(records.compactions) + 1:06d}", record, replace=False)
+        return len(chosen)
+
+    def _closed(self, name: str, before: int) -> bool:
+        day = name.partition("/")[0].partition("=")[2]
+        return day.lstrip("-").isdigit() and int(day) < before
+
+    def clean(self, spark: SparkSession, plan: RoutePlan, older_than_hours: float = 24.0) -> int:
+        """Remove files that no record names and that are older than any running read or write."""
+        records, files, table = self._records(spark, plan), SharedFiles(spark, self.root), self.path(plan)
+        named = set(records.live()).union(*[records.still(c) for c in records.compactions])
+        latest = time.time() * 1000 - older_than_hours * 3_600_000
+        gone = [name for name, _, changed in files.list(table, below=True) if name not in named and changed < latest]
+        for name in gone:
+            files.remove(f"{table}/{name}")
+        return len(gone)
+
+
+@dataclass(frozen=True)
+class Records:
+    """What the commit records of a target say."""
+
+    commits: tuple[Mapping, ...]
+    compactions: tuple[Mapping, ...]
+
+    @classmethod
+    def of(cls, records: Iterable[Mapping]) -> "Records":
+        every = list(records)
+        return cls(
+            tuple(r for r in every if "replaces" not in r), tuple(r for r in every if "replaces" in r)
+        )
+
+    @cached_property
+    def _replaced(self) -> frozenset[str]:
+        return frozenset(name for c in self.compactions for name in c["replaces"])
+
+    def left(self, commit: Mapping) -> list[str]:
+        """Files of a commit that no compaction has replaced."""
+        return [name for name in commit["files"] if name not in self._replaced]
+
+    def live(self) -> list[str]:
+        return [name for commit in self.commits for name in self.left(commit)]
+
+    still = left  # a compaction's own files can be replaced by a later one
+
+    def superseded(self, compaction: Mapping) -> list[tuple[str, str]]:
+        """Batches and routes that were written again after a compaction took their rows."""
+        now = {(c["batch_id"], c["route"]): c["write_id"] for c in self.commits}
+        return [(b, r) for b, r, write_id in compaction["batches"] if now.get((b, r), write_id) != write_id]
+
+    def newest(self) -> set[tuple[str, str]]:
+        """The last batch of each stream, by the number at the end of its name."""
+        last: dict[str, int] = {}
+        numbers = []
+        for c in self.commits:
+            query, _, number = c["batch_id"].rpartition("_")
+            if number.isdigit():
+                last[query] = max(last.get(query, 0), int(number))
+                numbers.append((query, int(number), (c["batch_id"], c["route"])))
+        return {key for query, number, key in numbers if last[query] == number}
+
+    def schema(self, merge: bool) -> T.StructType:
+        """Columns of all commits by name; columns of one name must have one type."""
+        texts = dict.fromkeys(r["schema"] for r in (*self.commits, *self.compactions))
+        fields: dict[str, T.StructField] = {}
+        for text in list(texts)[: None if merge else 1]:
+            for f in T.StructType.fromJson(json.loads(text)).fields:
+                known = fields.setdefault(f.name, T.StructField(f.name, f.dataType))
+                if known.dataType != f.dataType:
+                    raise ValueError(f"column {f.name} is {known.dataType} in one batch and {f.dataType} in another")
+        return T.StructType(list(fields.values()))
 
 
 def _marked(rows: DataFrame, plan: RoutePlan, batch_id: int | str | None) -> DataFrame:
@@ -126,7 +307,8 @@ class TableSink:
         if not spark.catalog.tableExists(name):
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {quote(plan.db)}")
             keys = ["batch_id", "route", self.period_column]
-            empty = marked.limit(0).write.format(self.format).partitionBy(*keys)
+            # not from the rows themselves: a sink runs them once, and that job counts them
+            empty = spark.createDataFrame([], marked.schema).write.format(self.format).partitionBy(*keys)
             empty.mode("ignore").saveAsTable(name)
         columns = spark.table(name).columns
         if sorted(columns) != sorted(marked.columns):

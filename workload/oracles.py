@@ -180,7 +180,24 @@ ORACLES: dict[str, str] = {
         FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS place
               FROM events) WHERE place = 1""",
     "pipeline_batch": _PIPELINE,
+    "pipeline_frames": _PIPELINE,
     "pipeline_inferred": _PIPELINE,
+    "pipeline_many_routes": f"""{_E} SELECT 'user_' || user_id AS route, count(*) AS rows, sum(event_id)::BIGINT AS ids FROM e GROUP BY user_id
+        UNION ALL SELECT 'k_' || k, count(*), sum(event_id)::BIGINT FROM e GROUP BY k""",
+    "parse_corrupt": """SELECT coalesce(value, '-') AS value, reason, periodo FROM (
+          SELECT CASE event_id % 8
+              WHEN 0 THEN substr(t, 1, 30) || chr(92) WHEN 2 THEN '  ' WHEN 3 THEN '"only text ' || event_id || '"'
+              WHEN 4 THEN '{"jsonPayload": {"event_id": ' || event_id || ', "user_id": "u' || k || '"}}' WHEN 5 THEN '[' || event_id || ']' END AS value,
+            CASE event_id % 8 WHEN 0 THEN 'malformed' WHEN 1 THEN 'no text' WHEN 2 THEN 'blank' WHEN 3 THEN 'not an object'
+              WHEN 4 THEN 'a field of another type' ELSE 'not an object' END AS reason,
+            CAST(strftime(ts, '%Y%m%d') AS INTEGER) AS periodo
+          FROM (SELECT event_id, ts, json_extract_string(props, '$.k') AS k,
+                       '{"jsonPayload": {"event_id": ' || event_id || ', "user_id": 7}}' AS t FROM events WHERE event_id % 8 < 6))""",
+    "kafka_records": """SELECT CASE WHEN event_id % 7 = 0 THEN '' ELSE 'é:' || props END AS value, CAST(user_id AS VARCHAR) AS key,
+          CAST(event_id % 3 AS INTEGER) AS partition, event_id AS "offset", strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS at, event_type AS sort
+        FROM events WHERE event_id % 5 <> 0""",
+    "sink_compacted": _shown("sales.purchases", "ops.problems", "ops.short_visits"),
+    "stream_recovered": _STREAM,
     "pipeline_split": """SELECT lang AS route, doc_id, lang, substr(text, 1, 5000) AS c0,
           substr(text, 5001, 5000) AS c1, substr(text, 10001, 5000) AS c2, substr(text, 15001, 5000) AS c3,
           substr(text, 20001) AS rest FROM documents WHERE lang IN ('en', 'de')""",

@@ -18,6 +18,7 @@ from millrace import (
     TableSink,
     compile_routes,
     run_batch,
+    run_skipped,
     run_stream,
     write_batch,
 )
@@ -36,7 +37,7 @@ from millrace.operators.project import cast_fields, project_fields
 from millrace.operators.route import count_matches, fan_out, match_routes, route_filter, unmatched
 from millrace.operators.split import split_wide
 from millrace.plans.registry import routes_with_fields, undefined_structures
-from millrace.sources.messages import spread, text_messages, text_values
+from millrace.sources.messages import record_messages, spread, text_messages, text_values
 from millrace.sources.registry import (
     Registry,
     registry_from_csv,
@@ -45,6 +46,7 @@ from millrace.sources.registry import (
     registry_from_tables,
 )
 from millrace.sources.storage import scratch_path
+from millrace.streaming.recovery import file_batch, skipped_batches
 from millrace.streaming.sinks import Sink
 from workload.messages import (
     MESSAGE_SCHEMA,
@@ -282,7 +284,8 @@ def route_select(spark, sf_dir):
         "SELECT jsonPayload FROM DataIN WHERE jsonPayload.value > 50 AND jsonPayload.event_type IN "
         "(SELECT DISTINCT jsonPayload.event_type FROM DataIN WHERE jsonPayload.value > 400)"
     )
-    return flat(route_filter(parsed(spark, sf_dir), predicate, parsed=True), *BASE)
+    messages = parsed(spark, sf_dir).persist()  # the predicate names them twice
+    return flat(route_filter(messages, predicate), *BASE)
 
 
 def route_lenient(spark, sf_dir):
@@ -462,7 +465,13 @@ def _shown(df: DataFrame) -> DataFrame:
 
 
 def pipeline_batch(spark, sf_dir):
-    """All routes of an identifier with a declared schema; nothing runs yet."""
+    """All routes of an identifier with a declared schema, in one pass; nothing runs yet."""
+    frames = run_batch(event_messages(spark, sf_dir), event_registry(spark), event_config(), "ts")
+    return _shown(frames.together())
+
+
+def pipeline_frames(spark, sf_dir):
+    """The same from one frame per route."""
     frames = run_batch(event_messages(spark, sf_dir), event_registry(spark), event_config(), "ts")
     return _shown(_union(frames))
 
@@ -471,7 +480,20 @@ def pipeline_inferred(spark, sf_dir):
     """The same with the schema found in the data."""
     config = event_config(message_schema=None)
     frames = run_batch(event_messages(spark, sf_dir), event_registry(spark), config, "ts")
-    return _shown(_union(frames))
+    return _shown(frames.together())
+
+
+def pipeline_many_routes(spark, sf_dir):
+    """A route for every user, and one per value of a nested number; rows of each route."""
+    users = [r[0] for r in table(spark, sf_dir, "events").select("user_id").distinct().collect()]
+    fields = (FieldPlan("jsonPayload.event_id", "event_id", "Bigint"),)
+    plans = [RoutePlan(f"user_{u}", "U", f"jsonPayload.user_id&{u}", "by_user", f"u{u}", fields) for u in sorted(users)]
+    plans += [
+        RoutePlan(f"k_{k}", "K", f"SELECT * FROM DataIN WHERE jsonPayload.details.value[0] = '{k}'", "by_k", f"k{k}", fields)
+        for k in range(100)
+    ]
+    frames = run_batch(event_messages(spark, sf_dir), plans, event_config(time_zone=None), "ts")
+    return frames.together().groupBy("route").agg(F.count("*").alias("rows"), F.sum("event_id").alias("ids"))
 
 
 def pipeline_split(spark, sf_dir):
@@ -698,6 +720,88 @@ def stream_replay(spark, sf_dir):
     return _run(spark, sf_dir, FailsOnce, tries=2)
 
 
+def stream_recovered(spark, sf_dir):
+    """A stream goes on without a route that a target refused; its batches are run again later."""
+
+    class Refuses:
+        """Refuses one route of every batch until it is mended."""
+
+        def __init__(self, inner: FileSink) -> None:
+            self.inner, self.mended = inner, False
+
+        def write(self, rows, plan, batch_id, replay=False):
+            if plan.table == "problems" and not self.mended:
+                raise OSError("target refuses")
+            self.inner.write(rows, plan, batch_id, replay)
+
+    sink = Refuses(FileSink(scratch_path(spark, "stream-out")))
+    plans = compile_routes(event_registry(spark), event_config().identifier)
+    checkpoint, config = scratch_path(spark, "stream-state"), event_config(on_error="skip")
+    run_stream(_stream_source(spark, sf_dir), plans, config, sink, checkpoint, available_now=True).awaitTermination()
+    sink.mended = True
+    run_skipped(spark, checkpoint, lambda batch: file_batch(spark, batch), plans, config, sink)
+    if skipped_batches(spark, checkpoint):
+        raise RuntimeError("batches are still waiting")
+    return _stream_rows(spark, sink.inner, plans)
+
+
+def sink_compacted(spark, sf_dir):
+    """Many small batches, their days compacted, some written again afterwards; rows stay the same."""
+    sink, plans = FileSink(scratch_path(spark, "tables")), compile_routes(event_registry(spark), event_config().identifier)
+    messages = event_messages(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
+    for n in range(4):
+        write_batch(messages.where(F.col("part") == n), plans, event_config(), sink, "ts", batch_id=f"s_{n}")
+    for plan in {p.target: p for p in plans}.values():
+        sink.compact(spark, plan, before=99999999)
+    write_batch(messages.where("part = 1"), plans, event_config(), sink, "ts", batch_id="s_1", replay=True)
+    for plan in {p.target: p for p in plans}.values():
+        sink.compact(spark, plan, before=99999999)
+        sink.clean(spark, plan, older_than_hours=0)
+    df = _read_targets(spark, sink, plans).withColumn("route", F.col("target"))
+    return _shown(df).drop("target")
+
+
+def parse_corrupt(spark, sf_dir):
+    """Every message that cannot be read, with its text and the reason."""
+    events = spread(table(spark, sf_dir, "events")).withColumn("k", k_of())
+    kind = F.col("event_id") % 8
+    text = F.format_string('{"jsonPayload": {"event_id": %d, "user_id": 7}}', "event_id")
+    broken = (
+        F.when(kind == 0, F.concat(F.substring(text, 1, 30), F.lit("\\")))
+        .when(kind == 1, F.lit(None))
+        .when(kind == 2, F.lit("  "))
+        .when(kind == 3, F.format_string('"only text %d"', "event_id"))
+        .when(kind == 4, F.format_string('{"jsonPayload": {"event_id": %d, "user_id": "u%d"}}', "event_id", "k"))
+        .when(kind == 5, F.format_string("[%d]", "event_id"))
+        .otherwise(text)
+    )
+    messages = events.select(broken.alias("value"), F.col("ts"))
+    config = event_config(corrupt_target="ops.unread", time_zone=None, root_arrays=False)
+    unread = run_batch(messages, event_registry(spark), config, "ts").corrupt()
+    return unread.select(F.coalesce("value", F.lit("-")).alias("value"), "reason", "periodo")
+
+
+def kafka_records(spark, sf_dir):
+    """Records as a broker's source gives them: bytes, a key, headers, a place, and values that are null."""
+    events = spread(table(spark, sf_dir, "events"))
+    header = lambda name, value: F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
+    records = events.select(
+        F.col("user_id").cast("string").cast("binary").alias("key"),
+        F.when(F.col("event_id") % 5 == 0, None).when(F.col("event_id") % 7 == 0, F.encode(F.lit(""), "UTF-8"))
+        .otherwise(F.encode(F.concat(F.lit("é:"), "props"), "UTF-8")).alias("value"),
+        F.lit("events").alias("topic"),
+        (F.col("event_id") % 3).cast("int").alias("partition"),
+        F.col("event_id").alias("offset"),
+        F.col("ts").cast("timestamp").alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+        F.array(header("sort", F.lit("old")), header("sort", F.col("event_type"))).alias("headers"),
+    )
+    out = record_messages(records, keep=("key", "partition", "offset", "timestamp", "headers"))
+    return out.select(
+        "value", "key", "partition", "offset", stamp("timestamp", MICROS).alias("at"), F.col("headers")["sort"].alias("sort")
+    )
+
+
 def stream_bad_route(spark, sf_dir):
     """A route that cannot run is reported and skipped; the others are written."""
     bad = ("EV_BASE", "SELECT * FROM DataIN WHERE jsonPayload.no_such_field.x = 'y'", "ops", "broken")
@@ -746,7 +850,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "row_index_arrival": row_index_arrival,
     "latest_by_key": latest_by_key_query,
     "pipeline_batch": pipeline_batch,
+    "pipeline_frames": pipeline_frames,
     "pipeline_inferred": pipeline_inferred,
+    "pipeline_many_routes": pipeline_many_routes,
+    "parse_corrupt": parse_corrupt,
+    "kafka_records": kafka_records,
+    "sink_compacted": sink_compacted,
+    "stream_recovered": stream_recovered,
     "pipeline_split": pipeline_split,
     "parse_repeated_keys": parse_repeated_keys,
     "split_wide_default": split_wide_default,
