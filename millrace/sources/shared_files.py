@@ -39,8 +39,23 @@ class SharedFiles:
                 found.append((name, status.getLen(), status.getModificationTime()))
         return sorted(found)
 
+    def names(self, folder: str, depth: int = 1) -> list[str]:
+        """Paths relative to ``folder`` of the data files so many levels below it."""
+        pattern = "/".join([folder, *["*"] * depth])
+        found = self._hadoop.FileUtil.stat2Paths(self._files.globStatus(self._path(pattern)))
+        parts = ["/".join(path.toString().rsplit("/", depth)[-depth:]) for path in found or ()]
+        return sorted(p for p in parts if not any(x.startswith(("_", ".")) for x in p.split("/")))
+
     def move(self, old: str, new: str) -> None:
-        if not self._files.rename(self._path(old), self._path(new)):
+        """Move a file; the folder it goes to is made if it is not there."""
+        source, target = self._path(old), self._path(new)
+        try:
+            if self._files.rename(source, target):
+                return
+        except Exception:  # some file systems say so like this
+            pass
+        self.make_folder(new.rpartition("/")[0])
+        if not self._files.rename(source, target):
             raise OSError(f"could not move {old} to {new}")
 
     def remove(self, path: str, below: bool = False) -> None:

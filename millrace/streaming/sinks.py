@@ -90,9 +90,8 @@ class FileSink:
         writer = rows.write.format(self.format).options(**self.options)
         writer.partitionBy(self.period_column).save(staging)
         placed = []
-        for name, _, _ in files.list(staging, below=True):
+        for name in files.names(staging, depth=2):
             day, _, part = name.rpartition("/")
-            files.make_folder(f"{table}/{day}")
             placed.append(f"{day}/{write_id}-{part}")
             files.move(f"{staging}/{name}", f"{table}/{placed[-1]}")
         files.remove(staging, below=True)
@@ -107,7 +106,7 @@ class FileSink:
 
     def _records(self, spark: SparkSession, plan: RoutePlan) -> "Records":
         files, folder = SharedFiles(spark, self.root), f"{self.path(plan)}/{MANIFEST}"
-        names = [name for name, _, _ in files.list(folder)]
+        names = files.names(folder)
         if len(names) > MANY_RECORDS:
             # a record is one line
             texts = [r[0] for r in spark.read.text([f"{folder}/{name}" for name in names]).collect()]
