@@ -24,7 +24,7 @@ IS_WORD = byte_class(b" \t\n\x0b\x0c\r")
 
 
 def _pieces(data: bytes) -> Iterator[bytes]:
-    """Parts of a text cut at spaces, so that no word is cut; n-grams across a cut are left out."""
+    """Parts of a text cut at spaces, so that no word is cut."""
     at = 0
     while at < len(data):
         end = at + PIECE
@@ -36,19 +36,25 @@ def _pieces(data: bytes) -> Iterator[bytes]:
 
 def features(data: bytes) -> np.ndarray:
     """How often each bucket occurs in a text: words, character n-grams as written,
-    and in bucket 0 the pairs of a word and itself, whatever the word."""
+    and in bucket 0 the pairs of a word and itself, whatever the word. What reaches over the
+    end of a part is counted with the next part."""
     counts = np.zeros(BUCKETS, np.int64)
+    last, tail = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
     for piece in _pieces(data):
         array = np.frombuffer(piece, np.uint8)
         words, _ = word_hashes(array, IS_WORD)
-        found = [words >> np.uint64(48), np.zeros(np.count_nonzero(words[1:] == words[:-1]), np.uint64)]
+        joined = np.concatenate([last, words])
+        found = [words >> np.uint64(48), np.zeros(np.count_nonzero(joined[1:] == joined[:-1]), np.uint64)]
         letters = np.frombuffer(piece.decode().encode("utf-32-le"), "<u4").astype(np.uint64)
         for n in NGRAMS:
-            if len(letters) >= n:
-                grams = np.full(len(letters) - n + 1, n, np.uint64)
+            before = tail[max(len(tail) - n + 1, 0) :]
+            run = np.concatenate([before, letters])
+            if len(run) >= n:
+                grams = np.full(len(run) - n + 1, n, np.uint64)
                 for i in range(n):
-                    grams = (grams + letters[i : len(letters) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
+                    grams = (grams + run[i : len(run) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
                 found.append(grams >> np.uint64(48))
+        last, tail = joined[-1:], np.concatenate([tail, letters])[-max(NGRAMS) :]
         counts += np.bincount(np.concatenate(found).astype(np.int64), minlength=BUCKETS)
     return counts
 

@@ -62,7 +62,15 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    return out.withColumn("n_sentences", F.size("sentences").cast("long")).drop("sentences")
+    spans = F.transform("sentences", lambda s: F.concat_ws(":", s["start"], s["end"]))
+    return out.select(
+        "doc_id",
+        "held_out",
+        "score",
+        "predicted",
+        F.size("sentences").cast("long").alias("n_sentences"),
+        F.array_join(spans, ",").alias("sentences"),
+    )
 
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import label_bucket, written
+from millrace.llm.common import label_bucket
 from millrace.llm.hashing import word_hashes
 from millrace.llm.labelled import training_sample
 
@@ -17,16 +17,11 @@ from millrace.llm.labelled import training_sample
 BUCKETS, PREFIXES = 1 << 18, (5, 6, 7)
 #: Labelled documents of each class that training reads at most.
 PER_CLASS = 2000
-#: Steps of training, documents of a step, rate, and pull of weights towards zero.
-STEPS, STEP, RATE, DECAY = 2000, 64, 0.7, 1e-5
-#: Log odds that a sentence is toxic before any word is read, where training begins. Low, so that
-#: many sentences without a sign of toxicity do not add up to a toxic document.
-BIAS = -7.0
-#: Sentences whose chance is counted in full; in longer texts, the odds of each sentence that is
-#: more likely clean shrink, so that these never add up to more than those of so many.
-SENTENCES = 200
-#: A word counts if this many training documents have it.
-LEAST_DOCUMENTS = 5
+#: Steps of training, documents of a step, rate, pull of weights towards zero in proportion and as such.
+STEPS, STEP, RATE, DECAY, SPARSE = 2000, 64, 0.7, 1e-5, 1e-4
+#: Log odds that a sentence is toxic before any word is read. So low that tens of thousands of
+#: sentences without a sign of toxicity do not add up to a toxic document.
+BIAS = -12.0
 #: Bytes of text read at a time.
 PIECE = 1 << 18
 
@@ -42,14 +37,12 @@ def sentences(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]
     """Parts of a text: buckets of words and their beginnings, number of the sentence
     each is in, ends of sentences.
 
-    A part ends with a sentence, so none is cut, except that one without a sentence
-    end in twice the size of a part is cut.
+    A part ends with a sentence, however long, so none is cut.
     """
     data, at = data.lower(), 0
     while at < len(data):
         end = min(at + PIECE, len(data))
-        limit = min(end + PIECE, len(data))
-        while end < limit and not ENDS_SENTENCE[data[end - 1]]:
+        while end < len(data) and not ENDS_SENTENCE[data[end - 1]]:
             end += 1
         piece = np.frombuffer(data, np.uint8, end - at, at)
         hashes, starts, *begun = word_hashes(piece, IS_WORD, PREFIXES)
@@ -70,34 +63,34 @@ def log_none(logits: np.ndarray) -> np.ndarray:
     return -np.logaddexp(0, logits)
 
 
-def log_clean(logits: np.ndarray) -> float:
-    """Log probability that a text has no toxic sentence, from the logits of its sentences.
+def blame(none: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Slope of a document's log loss by the log probability that none of its sentences is toxic.
 
-    A sentence that is more likely toxic than not counts in full in a text of any length.
+    Times the chance of a sentence, it is the share of a toxic document that this
+    sentence explains, however unlikely all of them are.
     """
-    excess = np.log(max(len(logits), SENTENCES) / SENTENCES)
-    return float(log_none(np.where(logits < 0, logits - excess, logits)).sum())
+    return np.where(y == 1, -np.exp(none) / np.maximum(-np.expm1(none), 1e-300), 1.0)
 
 
 def train(
     texts: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, weigh: np.ndarray, seed: int = 0
 ) -> tuple[np.ndarray, float]:
-    """Weights of words and a bias, from labels of whole documents and their weights.
+    """Weights of words, and the bias, from labels of whole documents and their weights.
 
     A text is the buckets of its words, sentence by sentence, and how many each
-    sentence has; those of words too rare to count are left out, but not sentences.
-    A document is toxic if any sentence is: its probability is the noisy-or
+    sentence has. A document is toxic if any sentence is: its probability is the noisy-or
     1 - prod(1 - p) of its sentences'. Gradient descent on the log loss of
     documents, each weight with its own rate; the sentence that explains a toxic
     document best takes most of its gradient. No weight falls below zero: clean
-    words in a sentence do not outweigh a toxic one. Without documents of both labels
+    words in a sentence do not outweigh a toxic one. A constant pull towards zero keeps
+    words that stand in one document by chance from explaining it. Without documents of both labels
     all scores are 0.5 for a text of one sentence.
     """
-    random, weights, bias = np.random.default_rng(seed), np.zeros(BUCKETS), 0.0
+    random, weights = np.random.default_rng(seed), np.zeros(BUCKETS)
     if len(set(y.tolist())) < 2:
-        return weights, bias
+        return weights, 0.0
     weigh = weigh / weigh.mean()
-    bias, grown, bias_grown = BIAS, np.full(BUCKETS, 1e-8), 1e-8
+    grown = np.full(BUCKETS, 1e-16)
     passes = -(-STEPS * STEP // len(y))
     order = np.concatenate([random.permutation(len(y)) for _ in range(passes)])[: STEPS * STEP]
     for at in range(0, len(order), STEP):
@@ -107,19 +100,15 @@ def train(
         words = np.concatenate([texts[i][0] for i in chosen])
         place = np.concatenate([np.repeat(np.arange(f, f + len(texts[i][1])), texts[i][1]) for i, f in zip(chosen, first)])
         document = np.repeat(np.arange(len(chosen)), sizes)
-        logits = bias + np.bincount(place, weights[words], sizes.sum())
+        logits = BIAS + np.bincount(place, weights[words], sizes.sum())
         none = np.bincount(document, log_none(logits), len(chosen))
-        # d loss / d log none: 1 for a clean document, -none / (1 - none) for a toxic one
-        odds = np.exp(none) / np.maximum(-np.expm1(none), 1e-6)
-        slope = np.where(y[chosen] == 1, -np.minimum(odds, 50), 1.0)
-        back = (slope * weigh[chosen])[document] / (1 + np.exp(-logits)) / len(chosen)
+        slope = blame(none, y[chosen]) * weigh[chosen]
+        back = slope[document] / (1 + np.exp(-logits)) / len(chosen)
         gradient = np.bincount(words, back[place], BUCKETS)
-        gradient += DECAY * weights
+        gradient += DECAY * weights + SPARSE * (weights > 0)
         grown += gradient**2
         weights = np.maximum(weights - RATE * gradient / np.sqrt(grown), 0)
-        bias_grown += back.sum() ** 2
-        bias -= 0.1 * RATE * back.sum() / np.sqrt(bias_grown)
-    return weights, bias
+    return weights, BIAS
 
 
 class Scorer:
@@ -148,60 +137,32 @@ class Scorer:
             size = len(data[start:end].decode(errors="ignore"))
             places.append({"start": chars, "end": chars + size, "score": p})
             at, chars = end, chars + size
-        return float(-np.expm1(log_clean(np.concatenate(every)))), places
+        return float(-np.expm1(log_none(np.concatenate(every)).sum())), places
 
 
 def training_words(sample: DataFrame, id_type: str) -> DataFrame:
     """``id, y, weight, words, sizes`` of the sampled documents that have words.
 
     ``words`` are 32-bit buckets, each once in a sentence, and ``sizes`` their
-    number in each sentence. Buckets that fewer than ``LEAST_DOCUMENTS`` documents
-    have are counted here and left out, so that the driver never holds them.
+    number in each sentence that has any.
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                parts, count = [], 0
+                words, sizes = [], []
                 for buckets, number, _ in sentences(batch.column(1)[i].as_py().encode()):
-                    # each word once in a sentence, sentences without words left out
-                    there, number = np.unique(number, return_inverse=True)
-                    parts.append(np.unique((number + count) << 18 | buckets))
-                    count += len(there)
-                packed = np.concatenate(parts).astype(np.int64).tobytes() if parts else b""
+                    pairs = np.unique(number << 18 | buckets)
+                    words.append((pairs & (BUCKETS - 1)).astype(np.int32))
+                    sizes.append(np.unique(pairs >> 18, return_counts=True)[1].astype(np.int32))
+                packed = [b"".join(x.tobytes() for x in parts) for parts in (words, sizes)]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, 1) for c in (0, 2, 3)), pa.array([packed])],
-                    names=["id", "y", "weight", "words"],
-                )
-
-    def buckets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words in batch.column(0):
-                packed = np.frombuffer(words.as_py(), np.int64)
-                buckets = np.unique(packed & (BUCKETS - 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(buckets)], names=["bucket"])
-
-    columns = f"id {id_type}, y int, weight double"
-    texts = written(sample.mapInArrow(read, f"{columns}, words binary").where("length(words) > 0"), "sentences")
-    # one number for each of at most BUCKETS buckets
-    counts = texts.select("words").mapInArrow(buckets_of, "bucket int").groupBy("bucket").count()
-    use = np.zeros(BUCKETS, bool)
-    use[counts.where(F.col("count") >= min(LEAST_DOCUMENTS, texts.count())).select("bucket").toArrow()["bucket"].to_numpy()] = True
-
-    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                packed = np.frombuffer(batch.column(3)[i].as_py(), np.int64)
-                buckets, number = packed & (BUCKETS - 1), packed >> 18
-                there = use[buckets]
-                sizes = np.bincount(number[there], minlength=int(number[-1]) + 1).astype(np.int32)
-                words = buckets[there].astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c).slice(i, 1) for c in range(3)), pa.array([words.tobytes()]), pa.array([sizes.tobytes()])],
+                    [*(batch.column(c).slice(i, 1) for c in (0, 2, 3)), *(pa.array([p], pa.binary()) for p in packed)],
                     names=["id", "y", "weight", "words", "sizes"],
                 )
 
-    return texts.mapInArrow(used, f"{columns}, words binary, sizes binary")
+    schema = f"id {id_type}, y int, weight double, words binary, sizes binary"
+    return sample.mapInArrow(read, schema).where("length(words) > 0")
 
 
 def trained_scorer(
@@ -238,12 +199,11 @@ def toxicity_scores(
 
     Every sentence of the whole text gets the probability that its words make it
     toxic, learned from labels of documents alone, and ``score`` is their
-    noisy-or, calibrated for the number of sentences: beyond ``SENTENCES`` of them,
-    those more likely clean than toxic add no more by being many. ``sentences`` lists start, end (code points, end exclusive) and
+    noisy-or, as in training. ``sentences`` lists start, end (code points, end exclusive) and
     score of the sentences at or above ``threshold``. Training reads at most
     ``per_class`` documents of each label, none whose crc32 of the id modulo 5 is
-    0 (those are held out); tasks send the buckets of words that enough documents
-    have to the driver, which the sample bounds. Only texts enter a score.
+    0 (those are held out); tasks send the buckets of their words to the driver, which the sample
+    bounds. Only texts enter a score.
 
     Null texts, empty ones and such without words have no sentence, and the
     score 0. Rows with a null id are scored and not held out; repeated rows get
