@@ -181,3 +181,28 @@ def _narrow_inside(
     if isinstance(current, T.StructType):
         return _narrow(current, paths, case_sensitive)
     return current
+
+
+def with_text(schema: T.StructType, paths: Iterable[str]) -> T.StructType:
+    """Schema in which the plain values that some paths end at are read as text.
+
+    Values inside an array of structs count; nested values and paths the schema lacks stay.
+    """
+    for path in paths:
+        if path_type(schema, path) is not None:
+            schema = _as_text(schema, [step.name for step in parse_path(path)])
+    return schema
+
+
+def _as_text(current: T.DataType, names: list[str]) -> T.DataType:
+    if isinstance(current, T.ArrayType):
+        return T.ArrayType(_as_text(current.elementType, names))
+    if not names:
+        plain = not isinstance(current, (T.StructType, T.MapType))
+        return T.StringType() if plain else current
+    if not isinstance(current, T.StructType):
+        return current
+    known = _find(current, names[0], False)
+    return T.StructType(
+        [T.StructField(f.name, _as_text(f.dataType, names[1:]) if f is known else f.dataType) for f in current.fields]
+    )

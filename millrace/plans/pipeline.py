@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.config import PipelineConfig
+from millrace.functions.casts import target_type
 from millrace.functions.paths import (
     has_path,
     only_paths,
@@ -22,6 +23,7 @@ from millrace.functions.paths import (
     path_column,
     quote,
     with_paths,
+    with_text,
 )
 from millrace.functions.predicates import predicate_paths
 from millrace.operators.enrich import enrich
@@ -314,11 +316,14 @@ def route_messages(
     plans: Sequence[RoutePlan],
     config: PipelineConfig,
     clock: str | None = None,
+    untyped_text: bool = False,
 ) -> Routed | None:
     """Parse and match messages; ``None`` when no message has the payload column.
 
     ``df`` has the text in ``value``; ``clock`` names a column of ``df`` with the
-    ingest time, otherwise the time of the query is used.
+    ingest time, otherwise the time of the query is used. With ``untyped_text``
+    fields without a type of their own, in an inferred schema, are read as text, so that the
+    reader writes a value alike whatever else a batch holds, unless a predicate tests them.
     """
     columns = [F.col("value")]
     if clock is not None:
@@ -333,6 +338,10 @@ def route_messages(
     else:
         known = infer_message_schema(text)
         tested = [path for plan in plans for path in predicate_paths(plan.predicate)]
+        if untyped_text and all(is_filter(plan.predicate) for plan in plans):
+            free = [f.path for plan in plans for f in plan.fields if target_type(f.type, config.extended_types) is None]
+            read = {tuple(step.name.lower() for step in parse_path(path)) for path in tested}
+            known = with_text(known, [p for p in free if not _read_with(p, read)])
         schema = with_paths(known, _inside([*fields, *tested], config.payload_column))
     if config.payload_column is not None and config.payload_column not in known.names or not known.fields:
         if config.corrupt_target is None:
@@ -397,6 +406,12 @@ def _index(predicates: tuple[tuple[str, str], ...], schema: str) -> RouteIndex:
     return RouteIndex.of(dict(predicates), T.StructType.fromJson(json.loads(schema)))
 
 
+def _read_with(path: str, tested: set[tuple[str, ...]]) -> bool:
+    """Whether a predicate tests a path, something in it, or something around it."""
+    names = tuple(step.name.lower() for step in parse_path(path))
+    return any(names[: len(t)] == t or t[: len(names)] == names for t in tested)
+
+
 def _inside(paths: list[str], payload_column: str | None) -> list[str]:
     """Paths that start at the payload column; all of them if there is none."""
     if payload_column is None:

@@ -85,7 +85,7 @@ def write_batch(
         now = F.timestamp_micros(F.lit(time.time_ns() // 1000))
         df, clock = df.select("value", now.alias(CLOCK)), CLOCK
     reports: list[RouteReport] = []
-    routed = route_messages(df, plans, config, clock)
+    routed = route_messages(df, plans, config, clock, config.untyped == "text")
     if routed is None:
         log.info("batch %s: no message has %s", batch_id, config.payload_column)
     else:

@@ -401,6 +401,22 @@ def test_config_names_a_target():
         PipelineConfig("x", count="never")
 
 
+# -- untyped columns -------------------------------------------------------------
+
+
+def test_an_untyped_value_is_stored_alike_in_every_batch(spark, tmp_path):
+    fields = (FieldPlan("p.id", "id", "Int"), FieldPlan("p.v", "v"), FieldPlan("p.list.x", "xs"), FieldPlan("p.deep", "deep"), FieldPlan("p.w", "w"))
+    at, config, sink = plan("a", "p.id > 0 AND p.w > 1", fields=fields), PipelineConfig("x", None, "p"), FileSink(str(tmp_path))
+    texts = ['{"p":{"id":1,"v":1.10,"list":[{"x":2.50}],"deep":{"a":1},"w":2}}', '{"p":{"id":2,"v":"x","w":3}}', '{"p":{"id":3,"v":1e2,"list":[{"x":"y"}],"w":4}}']
+    batches = [texts[:1], texts[1:], texts]
+    for batch_texts in batches:
+        write_batch(spark.createDataFrame([(t,) for t in batch_texts], "value string"), [at], config, sink)
+    rows = sink.read(spark, at).collect()
+    found = {i: {(r["v"], r["xs"], r["w"]) for r in rows if r["id"] == i} for i in (1, 2, 3)}
+    assert found == {1: {("1.1", '["2.5"]', "2")}, 2: {("x", None, "3")}, 3: {("100.0", '["y"]', "4")}}
+    assert {r["deep"] for r in rows if r["id"] == 1} == {'{"a":1}'}
+
+
 # -- broker records --------------------------------------------------------------
 
 RECORD = (
