@@ -141,15 +141,28 @@ chunks AS (
 judged AS (
   SELECT *, whole AND regexp_matches(chunk, '[^\x20\x09-\x0D]')
             AND row_number() OVER (PARTITION BY chunk, whole AND regexp_matches(chunk, '[^\x20\x09-\x0D]') ORDER BY id, k) > 1 AS gone
-  FROM chunks)
+  FROM chunks),
+placed AS (SELECT n.row, n.id, n.i, n.line, j.gone FROM numbered n JOIN judged j ON j.row = n.row AND j.k = n.k),
+paired AS (SELECT *, line || chr(10) || lead(line) OVER (PARTITION BY row ORDER BY i) AS pair FROM placed),
+again AS (
+  SELECT *, pair IS NOT NULL AND row_number() OVER (PARTITION BY pair ORDER BY id, row, i) > 1 AS later FROM paired),
+touched AS (
+  SELECT *, coalesce(lag(later) OVER (PARTITION BY row ORDER BY i), false) AS before FROM again),
+runs AS (
+  SELECT *, sum((NOT before)::INT) OVER (PARTITION BY row ORDER BY i) AS run FROM touched),
+weighed AS (
+  SELECT *, (later OR before)
+            AND (bool_or(gone) OVER (PARTITION BY row, run)
+                 OR sum(len(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) OVER (PARTITION BY row, run) >= 50) AS passage
+  FROM runs),
+left_over AS (
+  SELECT row, string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone AND NOT passage) AS kept FROM weighed GROUP BY row)
 SELECT d.doc_id, coalesce(n_chunks, 0)::BIGINT AS n_chunks, coalesce(n_removed, 0)::BIGINT AS n_removed,
        CASE WHEN d.text IS NOT NULL THEN sha256(coalesce(kept, '')) END AS text_sha256
 FROM (SELECT *, row_number() OVER () AS row FROM (SELECT doc_id, text FROM documents WHERE text IS NOT NULL)
       UNION ALL SELECT doc_id, text, NULL FROM documents WHERE text IS NULL) d
-LEFT JOIN (
-  SELECT row, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed,
-         string_agg(chunk, chr(10) ORDER BY k) FILTER (NOT gone) AS kept
-  FROM judged GROUP BY row) j ON j.row = d.row
+LEFT JOIN (SELECT row, count(*) AS n_chunks, count(*) FILTER (gone) AS n_removed FROM judged GROUP BY row) j ON j.row = d.row
+LEFT JOIN left_over o ON o.row = d.row
 """,
     "op6_mix_sources": r"""
 WITH sized AS (

@@ -145,6 +145,16 @@ def test_passages_of_short_lines(spark, bits):
     assert {i: got[i] for i in want} == want
 
 
+def test_second_copy_keeps_no_line(spark):
+    lines = [words(3_000_000 + 5 * i, 4) for i in range(3000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["put before", *lines])), (3, "\n".join([*lines[:9], "x", *lines[:9]]))]
+    # one id with two texts: each keeps its own lines, whatever stands at the same places in the other
+    rows += [(4, "\n".join(lines[50:90])), (4, "\n".join(words(4_000_000 + 5 * i, 4) for i in range(40)))]
+    out = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    got = sorted((r["doc_id"], r["text"]) for r in out)
+    assert got == sorted([rows[0], (2, "put before"), (3, "x"), (4, ""), rows[4]])
+
+
 def test_golay_keys():
     tables = simhash.error_tables()
     values = np.random.default_rng(0).integers(0, 1 << 63, 3000).astype(np.uint64)
