@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -161,8 +163,9 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: each row of ``docs`` as often as it is taken, all columns as they are.
 
-    Decisions join to rows by id, source and size; rows that are alike in these
-    get one decision each.
+    Decisions join to rows by id, source and size. Of rows that are alike in these, those
+    taken more often are the ones whose text, then hash of the other columns, comes first,
+    so reruns take the same ones.
     """
     numbered = docs.toDF(*[f"col{i}" for i in range(len(docs.columns))])
     names = dict(zip(docs.columns, numbered.columns))
@@ -171,16 +174,21 @@ def mixed_documents(
         F.col(names[source_col]).alias("source"),
         word_count(F.col(names[text_col])).alias("size"),
     )
+    # maps and variants have no hash
+    plain = [f.name for f in numbered.schema if not re.search("map<|variant", f.dataType.simpleString())]
+    others = F.xxhash64(F.lit(0), *[c for c in plain if c != names[text_col]])
     numbered = numbered.withColumn("key", key).withColumn(
-        "n", F.row_number().over(W.partitionBy("key").orderBy(F.lit(0)))
+        "n", F.row_number().over(W.partitionBy("key").orderBy(names[text_col], others))
     )
+    # of each key only a few counts: how many rows are taken once or more, twice or more, ...
+    times = F.col("taken") / F.col("size")
     mix = mix_sources(docs, id_col, text_col, source_col).where("taken > 0")
-    copies = mix.groupBy(F.struct("doc_id", "source", "size").alias("key")).agg(
-        F.sort_array(F.collect_list((F.col("taken") / F.col("size")).cast("int")), asc=False).alias("copies")
+    taken = mix.groupBy(F.struct("doc_id", "source", "size").alias("key")).agg(
+        F.array(*[F.count(F.when(times >= n, 1)) for n in range(1, EPOCHS + 1)]).alias("taken")
     )
     return (
-        numbered.join(copies, "key")
-        .withColumn("times", F.get("copies", F.col("n") - 1))
+        numbered.join(taken, "key")
+        .withColumn("times", F.size(F.filter("taken", lambda count: F.col("n") <= count)))
         .where("times > 0")
         .withColumn("time", F.explode_outer(F.sequence(F.lit(1), F.col("times"))))
         .select(*[F.col(names[c]).alias(c) for c in docs.columns])

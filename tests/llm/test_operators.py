@@ -501,6 +501,25 @@ def test_mixing(docs):
     assert {k: n * k[1] for k, n in copies.items()} == {k: n for k, n in taken.items() if n}
 
 
+def test_mixed_rows_do_not_depend_on_their_order(spark):
+    rows = [(1, f"{chr(97 + i)} word", "a", i % 3, {"k": i}) for i in range(24)] + [(i, words(i, 40), "b", 0, None) for i in range(2, 30)]
+    rows += [(None, "same text", "a", i, None) for i in range(9)]
+    schema = "doc_id long, text string, source string, extra int, tags map<string,int>"
+    taken = []
+    for parts in (1, 3, 7):
+        df = spark.createDataFrame(rows[parts:] + rows[:parts], schema).repartition(parts)
+        assert mixed_documents(df).schema == df.schema
+        taken.append(collections.Counter(tuple(r)[:4] for r in mixed_documents(df).collect()))
+    assert taken[0] == taken[1] == taken[2]
+    want = collections.Counter()
+    for r in mix_sources(df).collect():
+        want[r["doc_id"], r["source"]] += r["taken"] // r["size"]
+    got = collections.Counter()
+    for (i, _, source, _), n in taken[0].items():
+        got[i, source] += n
+    assert got == +want
+
+
 def test_targets(spark):
     sizes = [("a", 10), ("b", 1000), ("c", 500), (None, 90), ("d", 400)]
     got = {r["source"]: r["target"] for r in mixing.source_targets(spark.createDataFrame(sizes, "source string, source_size long")).collect()}
