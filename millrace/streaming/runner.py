@@ -74,9 +74,9 @@ def write_batch(
     those without rows are not tried. Messages that cannot be read go to
     ``config.corrupt_target``, if it is set, and are reported as the route ``_corrupt``.
 
-    Different targets are written at the same time from a few driver threads,
-    the routes of one target one after the other, since two jobs must not commit
-    to one folder at once. A failing route does not stop the others. With
+    Different targets are written at the same time from a few driver threads, once a job of
+    its own has parsed what they share; the routes of one target one after the other, since two
+    jobs must not commit to one folder at once. A failing route does not stop the others. With
     ``on_error="fail"`` it raises once all of them are done.
     """
     plans = _plans(registry, config)
@@ -99,6 +99,9 @@ def write_batch(
             for plan in tried:
                 targets.setdefault(plan.target.lower(), []).append(plan)
 
+            if counts is None and min(config.route_threads, len(targets)) > 1:
+                _fill(held)
+
             def write_target(same_target: list[RoutePlan]) -> list[RouteReport]:
                 return [
                     _write_route(held, plan, counts, sink, batch_id, replay)
@@ -155,6 +158,17 @@ def _write_route(
         return RouteReport(batch_id, plan.route_id, rows, False, str(problem))
 
 
+def _fill(held: Routed) -> None:
+    """Parse a kept batch before several targets read it: jobs that begin together would
+    each parse what no executor has kept yet. What fails here fails in every route, which reports it."""
+    if not held.held or held.staged is not None:
+        return
+    try:
+        held.frame.count()
+    except Exception:
+        log.debug("batch could not be kept", exc_info=True)
+
+
 def _observed(counter: Observation, rows: DataFrame) -> int:
     """Rows counted by the job that a sink ran; counted anew if it ran none."""
     found: list[int] = []

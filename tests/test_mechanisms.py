@@ -5,6 +5,7 @@ import os
 import re
 import threading
 import time
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from millrace.plans.pipeline import route_messages
 from millrace.sources.messages import record_messages, text_messages
 from millrace.sources.shared_files import SharedFiles
 from millrace.streaming.recovery import SkippedBatch, file_batch, kafka_options_of, skipped_batches
+from workload import queries
 from workload.queries import QUERIES
 
 FIELDS = (FieldPlan("p.id", "id", "Int"), FieldPlan("p.kind", "kind", "String"))
@@ -456,3 +458,54 @@ def test_record_json_is_one_line(spark, tmp_path):
     (name,) = [n for n in os.listdir(tmp_path / "db" / "t" / "_manifest") if not n.startswith(".")]
     text = (tmp_path / "db" / "t" / "_manifest" / name).read_text()
     assert "\n" not in text and json.loads(text)["batch_id"] == "x/y~1"
+
+
+def counted(spark, df):
+    """The frame, and an accumulator of how often a message was made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def passed(value):
+        made.add(1)
+        return value
+
+    return df.withColumn("value", F.udf(passed, "string")("value")), made
+
+
+def test_messages_of_many_batches_are_made_once(spark, tmp_path, monkeypatch):
+    kinds = F.element_at(F.array(*map(F.lit, ["purchase", "error", "view"])), (F.col("id") % 3 + 1).cast("int"))
+    events = spark.range(300).select(
+        F.when(F.col("id") != 7, F.col("id")).alias("event_id"),
+        (F.timestamp_seconds(F.lit(1_700_000_000) + F.col("id") * 3600)).cast("timestamp_ntz").alias("ts"),
+        (F.col("id") % 9).alias("user_id"), kinds.alias("event_type"), (F.col("id") * 0.5).alias("value"),
+        F.format_string('{"k": %d}', F.col("id") % 5).alias("props"))
+    events.unionByName(events.where("id % 10 = 3")).coalesce(2).write.parquet(str(tmp_path / "events.parquet"))
+    every = queries.event_messages(spark, str(tmp_path))
+    want = sorted(map(tuple, QUERIES["pipeline_batch"](spark, str(tmp_path)).drop("route").collect()))
+    messages, made = counted(spark, every)
+    monkeypatch.setattr(queries, "event_messages", lambda *a: messages)
+    got = QUERIES["sink_compacted"](spark, str(tmp_path))
+    assert sorted(map(tuple, got.drop("route").collect())) == want
+    assert made.value == 330
+
+
+@pytest.mark.parametrize("threads, before", [(4, 40), (1, 0)])
+def test_a_batch_is_parsed_before_targets_are_written_together(spark, tmp_path, threads, before):
+    messages, made = counted(spark, batch(spark, 0, 40, 1))
+    files, seen = FileSink(str(tmp_path)), []
+
+    class Watches:
+        def write(self, rows, at, batch_id, replay=False):
+            seen.append(made.value)
+            files.write(rows, at, batch_id, replay)
+
+    routes = [plan("a", "p.kind&a", "t"), plan("b", "p.id >= 30", "u")]
+    config = replace(CONFIG, route_threads=threads)
+    assert [r.rows for r in write_batch(messages, routes, config, Watches(), "at")] == [40, 10]
+    assert min(seen) == before and made.value == 40
+
+
+def test_a_batch_that_cannot_be_read_is_reported_by_every_route(spark, tmp_path):
+    broken = batch(spark, 0, 4, 1).withColumn("value", F.raise_error(F.lit("unreadable")).cast("string"))
+    routes = [plan("a", "p.kind&a", "t"), plan("b", "p.id >= 30", "u")]
+    reports = write_batch(broken, routes, replace(CONFIG, on_error="skip"), FileSink(str(tmp_path)), "at")
+    assert [(r.route, r.ok) for r in reports] == [("a", False), ("b", False)]

@@ -745,10 +745,22 @@ def stream_recovered(spark, sf_dir):
     return _stream_rows(spark, sink.inner, plans)
 
 
+def _dealt(messages: DataFrame, parts: int) -> DataFrame:
+    """Messages with a number ``part`` by the hash of their text, written once in a folder per part.
+
+    A filter on ``part`` then reads that folder only. On the frame itself it would make every
+    message anew for each part, and before ``spread``, in as few tasks as the table has splits.
+    """
+    path = scratch_path(messages.sparkSession, "dealt")
+    dealt = messages.withColumn("part", F.pmod(F.xxhash64("value"), F.lit(parts)))
+    dealt.write.partitionBy("part").parquet(path)
+    return messages.sparkSession.read.schema(dealt.schema).parquet(path)
+
+
 def sink_compacted(spark, sf_dir):
     """Many small batches, their days compacted, some written again afterwards; rows stay the same."""
     sink, plans = FileSink(scratch_path(spark, "tables")), compile_routes(event_registry(spark), event_config().identifier)
-    messages = event_messages(spark, sf_dir).withColumn("part", F.pmod(F.xxhash64("value"), F.lit(4)))
+    messages = _dealt(event_messages(spark, sf_dir), 4)
     for n in range(4):
         write_batch(messages.where(F.col("part") == n), plans, event_config(), sink, "ts", batch_id=f"s_{n}")
     for plan in {p.target: p for p in plans}.values():
